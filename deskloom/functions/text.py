@@ -77,8 +77,10 @@ def word_count(cleaned: Column) -> Column:
     return F.when(cleaned == "", F.lit(0)).otherwise(F.size(F.split(cleaned, " ")))
 
 
-def is_useful(cleaned: Column, min_chars: int = 20, min_words: int = 4) -> Column:
-    return (F.length(cleaned) >= min_chars) & (word_count(cleaned) >= min_words)
+def is_useful(squeezed: Column, min_chars: int = 20, min_words: int = 4) -> Column:
+    """Long enough in characters and words. One pattern names the cleaned text once: a filter
+    is pushed below the projection that cleans, and would repeat it for every mention."""
+    return squeezed.rlike(rf"^(?=.{{{min_chars},}}$)[^ ]+(?: [^ ]+){{{min_words - 1},}}$")
 
 
 # --- phrases ----------------------------------------------------------------------------

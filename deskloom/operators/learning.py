@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from deskloom.functions import text as tx
 from deskloom.operators.skew import top_within
-from deskloom.operators.tfidf import TfidfSpec, build_vocab, term_counts
+from deskloom.operators.tfidf import TfidfSpec, build_vocab, term_counts, term_occurrences
 from deskloom.session import checkpoint_dir, cut_lineage
 
 ONE = "all"
@@ -45,13 +45,17 @@ def sparse_features(
     vocab = cut_lineage(term_positions(vocab))
     width = vocab.count()
     tf = (F.lit(1.0) + F.log(F.col("tf"))) if spec.sublinear else F.col("tf").cast("double")
-    counts = term_counts(docs.withColumn("__part", F.lit(ONE)), spec, id_col, text_col, "__part")
+    found = term_occurrences(docs.withColumn("__part", F.lit(ONE)), spec, id_col, text_col, "__part")
     gathered = (
-        counts.join(F.broadcast(vocab), ["part", "term"])
-        .select("doc_id", F.struct("position", (tf * F.col("idf")).alias("raw")).alias("e"))
+        found.join(F.broadcast(vocab), ["part", "term"])
+        .groupBy("doc_id", "position", "idf")
+        .agg(F.count(F.lit(1)).alias("tf"))
+        .select("doc_id", "position", (tf * F.col("idf")).alias("raw"))
         .groupBy("doc_id")
-        .agg(F.array_sort(F.collect_list("e")).alias("es"))
-        .withColumn("norm", F.sqrt(F.aggregate("es", F.lit(0.0), lambda a, x: a + x["raw"] * x["raw"])))
+        .agg(
+            F.array_sort(F.collect_list(F.struct("position", "raw"))).alias("es"),
+            F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"),
+        )
     )
     layout = F.struct(
         F.lit(0).cast("tinyint").alias("type"),
@@ -62,7 +66,7 @@ def sparse_features(
     path = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     gathered.select("doc_id", layout.alias("features")).write.parquet(path)
     schema = T.StructType(
-        [T.StructField("doc_id", counts.schema["doc_id"].dataType), T.StructField("features", VectorUDT())]
+        [T.StructField("doc_id", found.schema["doc_id"].dataType), T.StructField("features", VectorUDT())]
     )
     read = spark.read.schema(schema).parquet(path)
     empty = F.udf(lambda: Vectors.sparse(width, {}), VectorUDT())()

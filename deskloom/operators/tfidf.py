@@ -60,9 +60,9 @@ class TfidfIndex:
     parts: DataFrame
     vocab_bound: int  # proven upper bound of the vocabulary's rows
 
-    def vocabulary(self) -> DataFrame:
-        """The vocabulary, to be broadcast when its proven bound allows."""
-        return F.broadcast(self.vocab) if self.vocab_bound <= BROADCAST_TERMS else self.vocab
+    @property
+    def small_vocab(self) -> bool:
+        return self.vocab_bound <= BROADCAST_TERMS
 
     def postings(self) -> DataFrame:
         """(part, vec_id, term, weight, salts), one row per entry of a vector."""
@@ -71,9 +71,14 @@ class TfidfIndex:
         ).drop("df")
 
 
-def term_counts(docs: DataFrame, spec: TfidfSpec, id_col: str, text_col: str, part_col: str) -> DataFrame:
-    """(part, doc_id, term, tf). The documents are partitioned by id before their terms are
-    exploded, so the count per document needs no second, much larger shuffle."""
+def term_occurrences(docs: DataFrame, spec: TfidfSpec, id_col: str, text_col: str, part_col: str) -> DataFrame:
+    """(part, doc_id, term), one row per occurrence. The documents are partitioned by id
+    before their terms are exploded, so counting per document moves no exploded row.
+
+    ``explode_outer`` with a filter behind it instead of ``explode``: for the latter the
+    optimizer puts "size > 0" on the whole tokenising expression in front of the generator,
+    inlined, which evaluates the regular expressions a dozen times per document.
+    """
     words = "__words"
     narrowed = docs.select(
         F.col(part_col).alias("part"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text")
@@ -82,8 +87,14 @@ def term_counts(docs: DataFrame, spec: TfidfSpec, id_col: str, text_col: str, pa
     split = cleaned.withColumn(
         words, tx.drop_stop_words(tx.tokens(F.col("__text")), list(spec.stop_words))
     )
-    terms = split.select("part", "doc_id", F.explode(tx.ngrams(F.col(words), spec.n_max)).alias("term"))
-    return terms.groupBy("doc_id", "part", "term").agg(F.count(F.lit(1)).alias("tf"))
+    terms = split.select("part", "doc_id", F.explode_outer(tx.ngrams(F.col(words), spec.n_max)).alias("term"))
+    return terms.filter(F.col("term").isNotNull())
+
+
+def term_counts(docs: DataFrame, spec: TfidfSpec, id_col: str, text_col: str, part_col: str) -> DataFrame:
+    """(part, doc_id, term, tf)"""
+    found = term_occurrences(docs, spec, id_col, text_col, part_col)
+    return found.groupBy("doc_id", "part", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def build_vocab(counts: DataFrame, parts: DataFrame, spec: TfidfSpec) -> DataFrame:
@@ -104,22 +115,33 @@ def build_vocab(counts: DataFrame, parts: DataFrame, spec: TfidfSpec) -> DataFra
     )
 
 
-def weigh(counts: DataFrame, vocabulary: DataFrame, spec: TfidfSpec) -> DataFrame:
+def weigh(found: DataFrame, vocab: DataFrame, small_vocab: bool, spec: TfidfSpec) -> DataFrame:
     """(part, doc_id, vec, key): unit-length vectors as arrays of (term, weight, df, salts)
-    sorted by term. Documents without any known term are absent.
+    sorted by term, from term occurrences. Documents without any known term are absent.
 
-    Counts are partitioned by document, so with a broadcast vocabulary neither the join nor
-    the gathering of a document's terms moves data.
+    A vocabulary of proven size is broadcast: unknown terms are gone before anything is
+    counted, and as the occurrences are partitioned by document neither the counting nor the
+    gathering moves data. A larger one is joined after counting.
     """
+    known = ["doc_id", "part", "term", "df", "idf", "salts"]
+    if small_vocab:
+        counts = (
+            found.join(F.broadcast(vocab), ["part", "term"]).groupBy(*known).agg(F.count(F.lit(1)).alias("tf"))
+        )
+    else:
+        counts = (
+            found.groupBy("doc_id", "part", "term").agg(F.count(F.lit(1)).alias("tf")).join(vocab, ["part", "term"])
+        )
     tf = (F.lit(1.0) + F.log(F.col("tf"))) if spec.sublinear else F.col("tf").cast("double")
+    # the norm is an aggregate: computed inside the row it would be inlined into the lambda
+    # below and evaluated once per term
     gathered = (
-        counts.join(vocabulary, ["part", "term"])
-        .select("part", "doc_id", F.struct("term", (tf * F.col("idf")).alias("raw"), "df", "salts").alias("entry"))
+        counts.select("part", "doc_id", "term", "df", "salts", (tf * F.col("idf")).alias("raw"))
         .groupBy("doc_id", "part")
-        .agg(F.array_sort(F.collect_list("entry")).alias("entries"))
-    )
-    normed = gathered.withColumn(
-        "norm", F.sqrt(F.aggregate("entries", F.lit(0.0), lambda acc, x: acc + x["raw"] * x["raw"]))
+        .agg(
+            F.array_sort(F.collect_list(F.struct("term", "raw", "df", "salts"))).alias("entries"),
+            F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"),
+        )
     )
     vec = F.transform(
         "entries",
@@ -130,16 +152,13 @@ def weigh(counts: DataFrame, vocabulary: DataFrame, spec: TfidfSpec) -> DataFram
             x["salts"].alias("salts"),
         ),
     )
-    return normed.select("part", "doc_id", vec.alias("vec")).withColumn("key", vector_key(F.col("vec")))
+    return gathered.select("part", "doc_id", vec.alias("vec"), vector_key(F.col("entries")).alias("key"))
 
 
-def vector_key(vec: F.Column) -> F.Column:
-    """128-bit identity of a vector within its part."""
+def vector_key(entries: F.Column) -> F.Column:
+    """128-bit identity of a vector within its part, from terms and unscaled weights."""
     return F.md5(
-        F.array_join(
-            F.transform(vec, lambda x: F.concat(x["term"], F.lit("\t"), F.round(x["weight"], 12).cast("string"))),
-            "\n",
-        )
+        F.array_join(F.transform(entries, lambda x: F.concat(x["term"], F.lit("\t"), x["raw"].cast("string"))), "\n")
     )
 
 
@@ -152,11 +171,10 @@ def build_index(
     n_parts = parts.count()
     if n_parts > MAX_PARTS:
         raise ValueError(f"{n_parts} parts; route by a column with at most {MAX_PARTS} values")
-    counts = term_counts(cases, spec, id_col, text_col, part_col)
-    vocab = cut_lineage(build_vocab(counts, parts, spec))
+    vocab = cut_lineage(build_vocab(term_counts(cases, spec, id_col, text_col, part_col), parts, spec))
     bound = spec.max_features * n_parts
-    vocabulary = F.broadcast(vocab) if bound <= BROADCAST_TERMS else vocab
-    weighed = cut_lineage(weigh(counts, vocabulary, spec))
+    found = term_occurrences(cases, spec, id_col, text_col, part_col)
+    weighed = cut_lineage(weigh(found, vocab, bound <= BROADCAST_TERMS, spec))
     vectors = weighed.groupBy("part", "key").agg(F.min("doc_id").alias("vec_id"), F.first("vec").alias("vec"))
     members = top_within(
         weighed.select("part", "key", F.col("doc_id").alias("case_id")),
@@ -184,8 +202,8 @@ def vectorize_queries(
     Returns ``(entries, owners)``: entries(part, q_key, term, weight, df, salts) once per
     distinct query vector, owners(query_id, part, q_key) to bring results back to queries.
     """
-    counts = term_counts(queries, index.spec, id_col, text_col, part_col)
-    weighed = cut_lineage(weigh(counts, index.vocabulary(), index.spec))
+    found = term_occurrences(queries, index.spec, id_col, text_col, part_col)
+    weighed = cut_lineage(weigh(found, index.vocab, index.small_vocab, index.spec))
     owners = weighed.select(F.col("doc_id").alias("query_id"), "part", F.col("key").alias("q_key"))
     distinct = weighed.groupBy("part", "key").agg(F.first("vec").alias("vec"))
     entries = distinct.select(
