@@ -57,6 +57,7 @@ SUPPORT_GATE: dict[str, Sequence[GateStep]] = {
 class Policy:
     name: str = "support"
     rules: RuleSet = SUPPORT_RULES
+    case_rules: RuleSet | None = None  # labels historical cases; None: the same rules
     responses: ResponseRules = field(default_factory=ResponseRules)
     intent_names: Mapping[str, str] = field(default_factory=lambda: lex.INTENT_NAMES)
     signals: Mapping[str, Sequence[str]] = field(default_factory=lambda: lex.SIGNALS)

@@ -236,6 +236,21 @@ def rule_set_from_table(
     return RuleSet(name, tuple(rules), default, profile, match)
 
 
+def scored_set_from_table(rows: DataFrame, name: str, default: str, profile: str = "lower") -> ScoredSet:
+    """Build a scored set from ``(rule_set, priority, label, phrase, weight)`` rows; ``priority``
+    is the order in which ties are resolved and ``weight`` belongs to the label."""
+    picked = rows.filter(F.col("rule_set") == name).select("priority", "label", "phrase", "weight")
+    found = picked.limit(MAX_RULE_ROWS + 1).collect()
+    if len(found) > MAX_RULE_ROWS:
+        raise ValueError(f"rule set {name!r} has more than {MAX_RULE_ROWS} rows")
+    if not found:
+        raise ValueError(f"rule set {name!r} is empty")
+    weights: dict[str, tuple[list[str], int]] = {}
+    for r in sorted(found, key=lambda r: (r.priority, r.label, r.phrase)):
+        weights.setdefault(r.label, ([], r.weight))[0].append(r.phrase)
+    return ScoredSet(name, weights, default, profile)
+
+
 def unreachable_phrases(rules: RuleSet) -> list[tuple[str, str]]:
     """Phrases that the cleaning profile can never leave in a text (for instance an
     apostrophe under the "index" profile). Returns (label, phrase) pairs."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from deskloom.functions import lexicon as lex
 from deskloom.functions import text as tx
-from deskloom.operators.skew import top_within
+from deskloom.operators.skew import ROWS_PER_TASK, lookup_join, top_within
 from deskloom.operators.tfidf import TfidfIndex, vectorize_queries
 from deskloom.session import cut_lineage
 
@@ -99,6 +99,14 @@ def _nearest_vectors(entries: DataFrame, index: TfidfIndex, k: int) -> DataFrame
     return sure.unionByName(second).filter(F.col("vec_id").isNotNull()).drop("tail_norm")
 
 
+def _owner_join(owners: DataFrame, lists: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    if owners.count() <= rows_per_task:  # a footer count: owners are a written table
+        return owners.join(lists, ["part", "q_key"])
+    key = F.struct("part", "q_key")
+    keyed = lists.select(key.alias("__owner"), "found")
+    return lookup_join(owners.withColumn("__owner", key), keyed, "__owner", "inner", ["query_id"], rows_per_task)
+
+
 def retrieve(
     queries: DataFrame,
     index: TfidfIndex,
@@ -128,9 +136,13 @@ def retrieve(
     ranked = top_within(
         cases, ["part", "q_key"], [F.col("score").desc(), F.col("case_id")], k, out="rank_no"
     )
-    return owners.join(ranked, ["part", "q_key"]).select(
-        "query_id", "part", "rank_no", "case_id", F.col("score").alias("similarity")
+    # one row per distinct query vector, so that a vector shared by a third of all queries is
+    # an ordinary many-to-one lookup that can be salted
+    lists = ranked.groupBy("part", "q_key").agg(
+        F.collect_list(F.struct("rank_no", "case_id", F.col("score").alias("similarity"))).alias("found")
     )
+    joined = _owner_join(owners, lists)
+    return joined.select("query_id", "part", F.inline("found"))
 
 
 def with_cases(hits: DataFrame, cases: DataFrame) -> DataFrame:

@@ -60,7 +60,7 @@ def build_cases(messages: DataFrame, brand: str, policy: Policy, min_chars: int
     """Historical cases: paired, filtered, one per distinct message text, labelled."""
     pairs = useful_pairs(pair_replies(messages, brand), min_chars, min_words)
     distinct = keep_first(pairs, ["customer_text"], ["reply_id"]).withColumnRenamed("reply_id", "case_id")
-    labelled = classify(distinct, policy.rules, "customer_text", "intent")
+    labelled = classify(distinct, policy.case_rules or policy.rules, "customer_text", "intent")
     return with_response_type(labelled, policy.responses, "support_reply")
 
 

@@ -72,6 +72,14 @@ def test_pruned_search_needs_its_second_pass(built, monkeypatch):
     assert {(r.query_id, r.rank_no): (r.case_id, round(r.similarity, 6)) for r in rows} == brute(cases, queries, 3)
 
 
+def test_a_hot_query_vector_is_salted(built, monkeypatch):
+    cases, queries, _, asked, index = built
+    plain = retrieval._owner_join
+    monkeypatch.setattr(retrieval, "_owner_join", lambda owners, lists: plain(owners, lists, 3))
+    rows = retrieval.retrieve(asked, index, 3).collect()
+    assert {(r.query_id, r.rank_no): (r.case_id, round(r.similarity, 6)) for r in rows} == brute(cases, queries, 3)
+
+
 def test_copies_share_a_vector(built):
     index = built[4]
     assert index.vectors.count() < 70

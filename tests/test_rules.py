@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from deskloom.functions.policy import SUPPORT, SUPPORT_RULES
 from deskloom.functions.rules import (
     GateStep, Rule, RuleSet, ScoredSet, classify, classify_by_score, consistent, rule_set_from_table,
-    unreachable_phrases, with_response_type, with_signals,
+    scored_set_from_table, unreachable_phrases, with_response_type, with_signals,
 )
 
 MESSAGES = [
@@ -114,6 +114,14 @@ def test_rules_from_a_table(spark):
         rule_set_from_table(table, "missing", "Z")
 
 
+def test_scores_from_a_table(spark):
+    rows = [("s", 2, "A", "x", 3), ("s", 1, "B", "y", 3), ("s", 1, "B", "z", 3)]
+    table = spark.createDataFrame(rows, "rule_set string, priority int, label string, phrase string, weight int")
+    scored = scored_set_from_table(table, "s", "none")
+    df = spark.createDataFrame([("x y", "B", 3), ("y z x", "B", 6), ("x", "A", 3), ("q", "none", 0)], "t string, w string, s int")
+    assert classify_by_score(df, scored, "t").filter("intent <> w or score <> s").count() == 0
+
+
 def test_unreachable_phrases():
     rules = RuleSet("r", (Rule("A", any_of=["can't", "ok"]),), "Z", profile="index")
     assert unreachable_phrases(rules) == [("A", "can't")]
