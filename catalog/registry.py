@@ -364,11 +364,11 @@ q_src as (select intent as part, query_id as doc_id, customer_text as text from
 {sql.query_vectors('q', 'q_src', 'c', prose.SPEC)}"""
 
 
-@query("tfidf_topk", RETRIEVAL + f",\n{sql.hits_cte('q', 'c', 3)} select query_id, part, rank_no::int as rank_no, case_id, round(similarity, 6) as similarity from hits")
+@query("tfidf_topk", RETRIEVAL + f",\n{sql.hits_cte('q', 'c', 3)} select query_id, part, rank_no::int as rank_no, case_id, similarity from hits")
 def tfidf_topk(spark, sf):
     _, index = case_index(spark, sf)
     hits = retrieval.retrieve(classified(spark, sf), index, 3)
-    return hits.withColumn("similarity", r6("similarity"))
+    return hits
 
 
 @query("tfidf_topk_pruned", ORACLES["tfidf_topk"])
@@ -376,21 +376,21 @@ def tfidf_topk_pruned(spark, sf):
     """The same result through the search that leaves frequent terms out of the join."""
     _, index = case_index(spark, sf)
     hits = retrieval.retrieve(classified(spark, sf), index, 3, pair_budget=0)
-    return hits.withColumn("similarity", r6("similarity"))
+    return hits
 
 
 PRIORITY = "case response_type " + " ".join(f"when '{t}' then {p}" for t, p in lex.TYPE_PRIORITY.items()) + " else 5 end"
 
 
 @query("rerank_topk", RETRIEVAL + f""",\n{sql.hits_cte('q', 'c', 25)}
-select query_id, new_rank::int as new_rank, case_id, response_type, round(similarity, 6) as similarity from (
+select query_id, new_rank::int as new_rank, case_id, response_type, similarity from (
   select *, row_number() over (partition by query_id order by {PRIORITY}, similarity desc, rank_no) as new_rank
   from hits join cases using (case_id)) where new_rank <= 5 and similarity >= 0.12""")
 def rerank_topk(spark, sf):
     cases, index = case_index(spark, sf)
     hits = retrieval.with_cases(retrieval.retrieve(classified(spark, sf), index, 25), cases)
     return retrieval.rerank(hits, 5).select(
-        "query_id", "new_rank", "case_id", "response_type", r6("similarity").alias("similarity")
+        "query_id", "new_rank", "case_id", "response_type", "similarity"
     )
 
 
@@ -399,7 +399,7 @@ def rerank_topk(spark, sf):
 q_src as (select 'all' as part, item_id as doc_id, text from benchmark),
 {sql.query_vectors('q', 'q_src', 'c', prose.GLOBAL_SPEC)},
 {sql.hits_cte('q', 'c', 5)}
-select query_id as item_id, case_id as doc_id, rank_no::int as rank_no, round(similarity, 6) as similarity, similarity >= 0.15 as usable_evidence from hits""")
+select query_id as item_id, case_id as doc_id, rank_no::int as rank_no, similarity, similarity >= 0.15 as usable_evidence from hits""")
 def global_topk(spark, sf):
     docs = documents(spark, sf).select("doc_id", "text", F.lit("all").alias("part"))
     index = tfidf.build_index(docs, prose.GLOBAL_SPEC, "doc_id", "text", "part")
@@ -409,7 +409,7 @@ def global_topk(spark, sf):
         F.col("query_id").alias("item_id"),
         F.col("case_id").alias("doc_id"),
         "rank_no",
-        r6("similarity").alias("similarity"),
+        "similarity",
         (F.col("similarity") >= 0.15).alias("usable_evidence"),
     )
 
@@ -479,11 +479,11 @@ def triaged(spark, sf, policy=prose.POLICY):
     return tri.triage(asked(spark, sf), index, cases, policy)
 
 
-@query("choose_evidence", f"with {sql.evidence()} select query_id, case_id, rank_no::int as rank_no, response_type, round(similarity, 6) as similarity, round(score, 6) as grounding_score from grounding")
+@query("choose_evidence", f"with {sql.evidence()} select query_id, case_id, rank_no::int as rank_no, response_type, similarity, score as grounding_score from grounding")
 def choose_evidence(spark, sf):
     chosen = ev.choose_grounding(evidence_rows(spark, sf), prose.POLICY)
     return chosen.select(
-        "query_id", "case_id", "rank_no", "response_type", r6("similarity").alias("similarity"), r6("grounding_score").alias("grounding_score")
+        "query_id", "case_id", "rank_no", "response_type", "similarity", "grounding_score"
     )
 
 
@@ -538,12 +538,12 @@ def evidence_v1(spark, sf):
     )
 
 
-DECIDED = "select query_id, intent, should_escalate, escalation_reason, round(best_similarity, 6) as best_similarity from decided"
+DECIDED = "select query_id, intent, should_escalate, escalation_reason, best_similarity from decided"
 
 
 def decided_columns(results):
     return results.select(
-        "query_id", "intent", "should_escalate", "escalation_reason", r6("best_similarity").alias("best_similarity")
+        "query_id", "intent", "should_escalate", "escalation_reason", "best_similarity"
     )
 
 
@@ -572,8 +572,8 @@ NAMES = "case intent " + " ".join(f"when '{i}' then '{n}'" for i, n in lex.INTEN
 
 @query("triage", f"""with {sql.decisions()}
 select query_id, intent, {NAMES} as intent_name, should_escalate, escalation_reason, reply, evidence_available,
-  evidence_count::int as evidence_count, round(best_similarity, 6) as best_similarity, evidence_selected,
-  coalesce(g_type, '') as selected_type, round(coalesce(g_similarity, 0.0), 6) as selected_similarity from decided""")
+  evidence_count::int as evidence_count, best_similarity, evidence_selected,
+  coalesce(g_type, '') as selected_type, coalesce(g_similarity, 0.0) as selected_similarity from decided""")
 def triage_query(spark, sf):
     """Flagship: all documents triaged against the index of past conversations."""
     return triaged(spark, sf).select(
@@ -585,10 +585,10 @@ def triage_query(spark, sf):
         "reply",
         "evidence_available",
         "evidence_count",
-        r6("best_similarity").alias("best_similarity"),
+        "best_similarity",
         F.col("grounding").isNotNull().alias("evidence_selected"),
         F.coalesce("grounding.response_type", F.lit("")).alias("selected_type"),
-        r6(F.coalesce("grounding.similarity", F.lit(0.0))).alias("selected_similarity"),
+        F.coalesce("grounding.similarity", F.lit(0.0)).alias("selected_similarity"),
     )
 
 
@@ -655,11 +655,11 @@ PRED = f"with {sql.predictions()}"
 
 
 @query("agent_predictions", PRED + """ select case_id, gold_intent, predicted_intent, intent_correct, should_escalate, escalation_reason,
-  evidence_available, evidence_selected, round(selected_similarity, 6) as selected_similarity, selected_response_type from predictions""")
+  evidence_available, evidence_selected, selected_similarity, selected_response_type from predictions""")
 def agent_predictions_query(spark, sf):
     return agent_predictions(spark, sf).select(
         "case_id", "gold_intent", "predicted_intent", "intent_correct", "should_escalate", "escalation_reason",
-        "evidence_available", "evidence_selected", r6("selected_similarity").alias("selected_similarity"), "selected_response_type",
+        "evidence_available", "evidence_selected", "selected_similarity", "selected_response_type",
     )
 
 
@@ -684,7 +684,7 @@ def safety_proxy(spark, sf):
     return out.withColumns({c: r6(c) for c in ("auto_rate", "escalation_rate", "safety_proxy")})
 
 
-@query("similarity_coverage", PRED + """, s as (select round(selected_similarity, 6) as s from predictions where evidence_selected)
+@query("similarity_coverage", PRED + """, s as (select cast(round(cast(selected_similarity as decimal(18, 9)), 6) as double) as s from predictions where evidence_selected)
 select count(*)::bigint as rows, count(*) filter (s >= 0.2)::bigint as at_least_20, count(*) filter (s >= 0.3)::bigint as at_least_30,
   count(*) filter (s >= 0.4)::bigint as at_least_40, count(*) filter (s >= 0.5)::bigint as at_least_50,
   round(avg(s), 6) as mean_similarity, round(median(s), 5) as median_similarity from s""")
@@ -753,9 +753,9 @@ q_src as (select 'all' as part, item_id as doc_id, text from benchmark),
 {sql.hits_cte('q', 'c', 3)},
 verdict as (select text, max(quality) as quality, max(toxic) as toxic from documents join labels using (doc_id) group by text),
 judged as (
-  select h.query_id as case_id, 'all' as gold_intent, b.text as customer_text, h.rank_no as rank, round(h.similarity, 4) as similarity,
+  select h.query_id as case_id, 'all' as gold_intent, b.text as customer_text, h.rank_no as rank, cast(round(cast(h.similarity as decimal(18, 9)), 4) as double) as similarity,
          case when v.quality = 1 then 'YES' else 'NO' end as relevant,
-         case when v.quality = 1 and round(h.similarity, 4) >= 0.2 then 'YES' else 'NO' end as actionable,
+         case when v.quality = 1 and cast(round(cast(h.similarity as decimal(18, 9)), 4) as double) >= 0.2 then 'YES' else 'NO' end as actionable,
          case when v.toxic = 0 then 'YES' else 'NO' end as safe_to_ground
   from hits h join documents d on d.doc_id = h.case_id join benchmark b on b.item_id = h.query_id left join verdict v on v.text = d.text)"""
 
@@ -1009,11 +1009,11 @@ def csv_roundtrip(spark, sf):
 @query("cluster_examples", """with c as (select label, i, avg(x::double) as m from (select label, unnest(embedding) as x, unnest(range(1, len(embedding) + 1)) as i from embeddings) group by label, i),
 d as (select v.label, vec_id, round(sum((x::double - m) * (x::double - m)), 9) as distance from (
   select label, vec_id, unnest(embedding) as x, unnest(range(1, len(embedding) + 1)) as i from embeddings) v join c using (label, i) group by v.label, vec_id)
-select label, place::int as place, vec_id, round(distance, 6) as distance from (
+select label, place::int as place, vec_id, distance from (
   select *, row_number() over (partition by label order by distance, vec_id) as place from d) where place <= 8""")
 def cluster_examples(spark, sf):
     out = learning.cluster_examples(table(spark, sf, "embeddings"), "vec_id", "label", "embedding")
-    return out.select("label", "place", "vec_id", r6("distance").alias("distance"))
+    return out.select("label", "place", "vec_id", "distance")
 
 
 CLUSTER_SPEC = prose.replace(prose.GLOBAL_SPEC, profile="cluster", min_df=5, max_df=0.9, max_features=10_000, sublinear=False)
@@ -1023,7 +1023,7 @@ CLUSTER_SPEC = prose.replace(prose.GLOBAL_SPEC, profile="cluster", min_df=5, max
 {sql.index('c', 'c_src', CLUSTER_SPEC)},
 n as (select lang, count(*) as docs from documents group by lang),
 m as (select lang, term, round(sum(weight) / any_value(docs), 9) as mean_weight from c_vec join documents using (doc_id) join n using (lang) group by lang, term)
-select lang, place::int as place, term, round(mean_weight, 6) as mean_weight from (
+select lang, place::int as place, term, mean_weight from (
   select *, row_number() over (partition by lang order by mean_weight desc, term) as place from m) where place <= 12""")
 def cluster_terms(spark, sf):
     docs = documents(spark, sf, "doc_id", "text", "lang").withColumn("part", F.lit("all"))
@@ -1032,7 +1032,7 @@ def cluster_terms(spark, sf):
         F.col("case_id").alias("doc_id"), "term", "weight"
     )
     out = learning.cluster_terms(weights, docs.select("doc_id", "lang"), "lang")
-    return out.select("lang", "place", "term", r6("mean_weight").alias("mean_weight"))
+    return out.select("lang", "place", "term", "mean_weight")
 
 
 @query("cluster_messages")
