@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskloom.functions import text as tx
-from deskloom.operators.skew import top_within
+from deskloom.operators.skew import lookup_join, top_within
 from deskloom.operators.tfidf import TfidfSpec, build_vocab, term_counts, term_occurrences
 from deskloom.session import checkpoint_dir, cut_lineage
 
@@ -187,7 +187,7 @@ def cluster_examples(
         .agg(F.array_sort(F.collect_list(F.struct("dim", "m"))).alias("__c"))
         .select(cluster, F.transform("__c", lambda s: s["m"]).alias("__centre"))
     )
-    joined = points.join(centre, cluster)
+    joined = lookup_join(points, centre, cluster, spread_by=[id_col])
     squares = F.zip_with(vector, "__centre", lambda x, c: (x.cast("double") - c) * (x.cast("double") - c))
     measured = joined.select(
         cluster, id_col, F.round(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x), 9).alias("distance")
@@ -207,7 +207,7 @@ def cluster_terms(weights: DataFrame, assigned: DataFrame, cluster: str, n: int
         .groupBy(cluster, "term")
         .agg(F.sum("weight").alias("__sum"))
     )
-    means = sums.join(F.broadcast(sizes.limit(10_000)), cluster).withColumn(
+    means = lookup_join(sums, sizes, cluster, spread_by=["term"]).withColumn(
         "mean_weight", F.round(F.col("__sum") / F.col("__docs"), 9)
     )
     return top_within(means, [cluster], [F.col("mean_weight").desc(), F.col("term")], n, out="place").select(

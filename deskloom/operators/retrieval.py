@@ -125,9 +125,8 @@ def retrieve(
     """
     if k > index.spec.max_top_k:
         raise ValueError(f"the index keeps {index.spec.max_top_k} copies per vector, asked for {k}")
-    entries, owners = vectorize_queries(queries, index, id_col, text_col, part_col)
-    pairs = entries.agg(F.sum("df")).first()[0] or 0
-    if pairs <= pair_budget:
+    entries, owners, postings = vectorize_queries(queries, index, id_col, text_col, part_col)
+    if postings <= pair_budget:
         best = _best(_scores(entries, index), k)
     else:
         best = _nearest_vectors(cut_lineage(entries), index, k)

@@ -59,22 +59,16 @@ def lookup_join(
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the one with the smallest ``order`` columns (unique within the table).
+    """One row per key, the one with the smallest ``order`` columns (unique within a key).
 
-    A plain aggregate with map-side combine finds the winners, so a key that holds a third of
-    the rows costs each task one partial minimum; the rows come back by their unique order key.
+    One aggregate whose minimum carries the other columns: the input is read once, and each
+    task passes on a single row of a key, even of one that holds a third of all rows.
     Rows with a null key column form one group, as in SQL.
     """
-    order = list(order)
-    if len(order) == 1:
-        best = df.groupBy(*keys).agg(F.min(order[0]).alias(order[0])).select(order)
-    else:
-        best = (
-            df.groupBy(*keys)
-            .agg(F.min(F.struct(*order)).alias("__best"))
-            .select(*[F.col("__best")[c].alias(c) for c in order])
-        )
-    return df.join(best, order, "left_semi")
+    order = [c for c in order if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    best = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("__best"))
+    return best.select(*[F.col(c) if c in keys else F.col("__best")[c].alias(c) for c in df.columns])
 
 
 def hash_rank_key(ids: Sequence[str], seed: int) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskloom.functions import text as tx
-from deskloom.operators.skew import top_within
+from deskloom.operators.skew import lookup_join, top_within
 from deskloom.session import cut_lineage
 
 # A vocabulary has at most max_features terms per part. Up to this many rows (some 150 MB as
@@ -167,12 +167,15 @@ def build_index(
 ) -> TfidfIndex:
     """Index the cases. Three tables are written to the checkpoint folder on the way; use
     ``deskloom.sources.index_store`` to keep an index for other sessions."""
-    parts = cut_lineage(cases.groupBy(F.col(part_col).alias("part")).agg(F.count(F.lit(1)).alias("docs")))
-    n_parts = parts.count()
-    if n_parts > MAX_PARTS:
-        raise ValueError(f"{n_parts} parts; route by a column with at most {MAX_PARTS} values")
+    sizes = (
+        cases.groupBy(F.col(part_col).alias("part")).agg(F.count(F.lit(1)).alias("docs")).limit(MAX_PARTS + 1).collect()
+    )
+    if len(sizes) > MAX_PARTS:
+        raise ValueError(f"more than {MAX_PARTS} parts; route by a column with fewer values")
+    part_type = cases.schema[part_col].dataType.simpleString()
+    parts = cases.sparkSession.createDataFrame(sizes, f"part {part_type}, docs long")
     vocab = cut_lineage(build_vocab(term_counts(cases, spec, id_col, text_col, part_col), parts, spec))
-    bound = spec.max_features * n_parts
+    bound = spec.max_features * len(sizes)
     found = term_occurrences(cases, spec, id_col, text_col, part_col)
     weighed = cut_lineage(weigh(found, vocab, bound <= BROADCAST_TERMS, spec))
     vectors = weighed.groupBy("part", "key").agg(F.min("doc_id").alias("vec_id"), F.first("vec").alias("vec"))
@@ -196,11 +199,12 @@ def build_index(
 
 def vectorize_queries(
     queries: DataFrame, index: TfidfIndex, id_col: str, text_col: str, part_col: str
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, int]:
     """Queries in the index's space.
 
-    Returns ``(entries, owners)``: entries(part, q_key, term, weight, df, salts) once per
-    distinct query vector, owners(query_id, part, q_key) to bring results back to queries.
+    Returns ``(entries, owners, postings)``: entries(part, q_key, term, weight, df, salts) once
+    per distinct query vector, owners(query_id, part, q_key) to bring results back to queries,
+    and an upper bound of the (query vector, case, term) rows a plain join would make.
     """
     found = term_occurrences(queries, index.spec, id_col, text_col, part_col)
     weighed = cut_lineage(weigh(found, index.vocab, index.small_vocab, index.spec))
@@ -209,14 +213,14 @@ def vectorize_queries(
     entries = distinct.select(
         "part", F.col("key").alias("q_key"), F.inline("vec").alias("term", "weight", "df", "salts")
     )
-    return entries, owners
+    per_query = F.aggregate("vec", F.lit(0).cast("long"), lambda acc, x: acc + x["df"])
+    postings = weighed.agg(F.sum(per_query)).first()[0] or 0
+    return entries, owners, postings
 
 
 def document_frequency(docs: DataFrame, spec: TfidfSpec, id_col: str, text_col: str, part_col: str) -> DataFrame:
     """(part, docs, term, df) before any frequency limit."""
     parts = docs.groupBy(F.col(part_col).alias("part")).agg(F.count(F.lit(1)).alias("docs"))
     counts = term_counts(docs, spec, id_col, text_col, part_col)
-    # parts: one row per value of the routing column
-    return counts.groupBy("part", "term").agg(F.count(F.lit(1)).alias("df")).join(
-        F.broadcast(parts.limit(MAX_PARTS)), "part"
-    )
+    frequency = counts.groupBy("part", "term").agg(F.count(F.lit(1)).alias("df"))
+    return lookup_join(frequency, parts, "part", spread_by=["term"])
