@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from deskloom.functions import text as tx
 from deskloom.operators.skew import lookup_join, top_within
-from deskloom.operators.tfidf import TfidfSpec, build_vocab, term_counts, term_occurrences
+from deskloom.operators.tfidf import TfidfSpec, build_vocab, part_sizes, term_counts, term_occurrences
 from deskloom.session import checkpoint_dir, cut_lineage
 
 ONE = "all"
@@ -201,13 +201,13 @@ def cluster_terms(weights: DataFrame, assigned: DataFrame, cluster: str, n: int
     ``weights``: (doc_id, term, weight); ``assigned``: (doc_id, cluster). Documents without
     any term count in the mean as zero vectors.
     """
-    sizes = assigned.groupBy(cluster).agg(F.count(F.lit(1)).alias("__docs"))
+    sizes = part_sizes(assigned, cluster)[0].select(F.col("part").alias(cluster), F.col("docs").alias("__docs"))
     sums = (
         weights.join(assigned, "doc_id")
         .groupBy(cluster, "term")
         .agg(F.sum("weight").alias("__sum"))
     )
-    means = lookup_join(sums, sizes, cluster, spread_by=["term"]).withColumn(
+    means = sums.join(F.broadcast(sizes), cluster).withColumn(
         "mean_weight", F.round(F.col("__sum") / F.col("__docs"), 9)
     )
     return top_within(means, [cluster], [F.col("mean_weight").desc(), F.col("term")], n, out="place").select(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskloom.functions import text as tx
-from deskloom.operators.skew import lookup_join, top_within
+from deskloom.operators.skew import top_within
 from deskloom.session import cut_lineage
 
 # A vocabulary has at most max_features terms per part. Up to this many rows (some 150 MB as
@@ -162,20 +162,25 @@ def vector_key(entries: F.Column) -> F.Column:
     )
 
 
+def part_sizes(df: DataFrame, part_col: str) -> tuple[DataFrame, int]:
+    """parts(part, docs) and their number, refused beyond MAX_PARTS: a table of proven size."""
+    sizes = (
+        df.groupBy(F.col(part_col).alias("part")).agg(F.count(F.lit(1)).alias("docs")).limit(MAX_PARTS + 1).collect()
+    )
+    if len(sizes) > MAX_PARTS:
+        raise ValueError(f"more than {MAX_PARTS} values in {part_col}; route by a column with fewer")
+    part_type = df.schema[part_col].dataType.simpleString()
+    return df.sparkSession.createDataFrame(sizes, f"part {part_type}, docs long"), len(sizes)
+
+
 def build_index(
     cases: DataFrame, spec: TfidfSpec, id_col: str = "case_id", text_col: str = "customer_text", part_col: str = "intent"
 ) -> TfidfIndex:
     """Index the cases. Three tables are written to the checkpoint folder on the way; use
     ``deskloom.sources.index_store`` to keep an index for other sessions."""
-    sizes = (
-        cases.groupBy(F.col(part_col).alias("part")).agg(F.count(F.lit(1)).alias("docs")).limit(MAX_PARTS + 1).collect()
-    )
-    if len(sizes) > MAX_PARTS:
-        raise ValueError(f"more than {MAX_PARTS} parts; route by a column with fewer values")
-    part_type = cases.schema[part_col].dataType.simpleString()
-    parts = cases.sparkSession.createDataFrame(sizes, f"part {part_type}, docs long")
+    parts, n_parts = part_sizes(cases, part_col)
     vocab = cut_lineage(build_vocab(term_counts(cases, spec, id_col, text_col, part_col), parts, spec))
-    bound = spec.max_features * len(sizes)
+    bound = spec.max_features * n_parts
     found = term_occurrences(cases, spec, id_col, text_col, part_col)
     weighed = cut_lineage(weigh(found, vocab, bound <= BROADCAST_TERMS, spec))
     vectors = weighed.groupBy("part", "key").agg(F.min("doc_id").alias("vec_id"), F.first("vec").alias("vec"))
@@ -220,7 +225,7 @@ def vectorize_queries(
 
 def document_frequency(docs: DataFrame, spec: TfidfSpec, id_col: str, text_col: str, part_col: str) -> DataFrame:
     """(part, docs, term, df) before any frequency limit."""
-    parts = docs.groupBy(F.col(part_col).alias("part")).agg(F.count(F.lit(1)).alias("docs"))
+    parts, _ = part_sizes(docs, part_col)
     counts = term_counts(docs, spec, id_col, text_col, part_col)
     frequency = counts.groupBy("part", "term").agg(F.count(F.lit(1)).alias("df"))
-    return lookup_join(frequency, parts, "part", spread_by=["term"])
+    return frequency.join(F.broadcast(parts), "part")
