@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from deskloom.llm.common import table
 from deskloom.llm.exact_dedup import exact_duplicates
+from deskloom.llm.ngram_join import ngram_components
 from deskloom.llm.pii import BASE, find_personal_data
 from deskloom.llm.url_filter import judge_urls
 
@@ -58,6 +59,11 @@ FROM judged"""
 ORACLES["op4_url_filter"] = _url_sql()
 
 
+@query
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(table(spark, sf_dir, "documents"))
