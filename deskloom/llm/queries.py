@@ -9,6 +9,7 @@ from deskloom.llm.common import table
 from deskloom.llm.exact_dedup import exact_duplicates
 from deskloom.llm.ngram_join import ngram_components
 from deskloom.llm.pii import BASE, find_personal_data
+from deskloom.llm.sharding import shard_documents
 from deskloom.llm.url_filter import judge_urls
 
 QUERIES = {}
@@ -20,6 +21,11 @@ def query(function):
     return function
 
 
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
 # fixed values: the rules that every page url is held against
 URL_RULES = [
     ("com", "/", "allow"),

@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 WORDS = 5
 #: Bytes of text that are hashed at once; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _draw = np.random.default_rng(20240229)
-_BYTE = _draw.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _draw.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = int(_draw.integers(1, 2**62)) * 4 + 1
+_INSIDE = np.ones(256, bool)
+_INSIDE[[9, 10, 11, 12, 13, 32]] = False
+#: A value per byte; none for blanks and the same for A-Z and a-z.
+_BYTE = _draw.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTE[65:91] = _BYTE[97:123]
+_BYTE[~_INSIDE] = 0
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -26,10 +32,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(n: int) -> np.ndarray:
-    out = np.full(n, _BASE, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse modulo 2**64."""
+    both = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        values = np.full(n, base, np.uint64)
+        values[0] = 1
+        both.append(np.multiply.accumulate(values))
+    return both[0], both[1]
 
 
 def slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -48,24 +59,17 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of every word and the number of words before each row. Words are runs of
     bytes other than blanks and the control characters 9 to 13; A-Z count as a-z."""
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    lowered = np.where((data >= 65) & (data <= 90), data + 32, data)
-    inside = (data != 32) & ((data < 9) | (data > 13))
-    before = np.empty(len(data), bool)
-    before[0] = False
-    before[1:] = inside[:-1]
-    before[offsets[:-1][offsets[:-1] < len(data)]] = False
-    starts = np.flatnonzero(inside & ~before)
+    inside = _INSIDE[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    rows = offsets[:-1][offsets[:-1] < len(data)]
+    begins[rows] = inside[rows]
+    starts = np.flatnonzero(begins)
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    number = np.cumsum(inside & ~before)
-    chars = np.flatnonzero(inside)
-    place = chars - starts[number[chars] - 1]
-    values = _BYTE[lowered[chars]] * _powers(int(place.max()) + 1)[place]
-    firsts = np.flatnonzero(place == 0)
-    sums = np.add.reduceat(values, firsts)
-    return mix(sums), np.searchsorted(starts, offsets)
+    powers, inverses = _powers(1 << max(18, (len(data) - 1).bit_length()))
+    sums = np.add.reduceat(_BYTE[data] * powers[: len(data)], starts)
+    return mix(sums * inverses[starts]), np.searchsorted(starts, offsets)
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
