@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,19 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[f"`{source}`"].alias(name) for name, source in columns.items()])
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a finished action go at once. For operators that write
+    their intermediate tables, so that nothing later reads an earlier action's shuffle."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def gapless_rank(
     df: DataFrame,
     groups: Sequence[str],

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskloom.llm.common import table
 from deskloom.llm.exact_dedup import exact_duplicates
 from deskloom.llm.ngram_join import ngram_components
+from deskloom.llm.packing import pack_documents
 from deskloom.llm.pii import BASE, find_personal_data
 from deskloom.llm.sharding import shard_documents
 from deskloom.llm.url_filter import judge_urls
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 QUERIES = {}
 ORACLES = {}
 
@@ -89,6 +93,11 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 @query
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
