@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskloom.llm.common import table
+from deskloom.llm.ctph import neighbour_fingerprints
 from deskloom.llm.exact_dedup import exact_duplicates
 from deskloom.llm.ngram_join import ngram_components
 from deskloom.llm.packing import pack_documents
@@ -93,6 +94,11 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
