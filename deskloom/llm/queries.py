@@ -13,6 +13,7 @@ from deskloom.llm.ngram_join import ngram_components
 from deskloom.llm.packing import pack_documents
 from deskloom.llm.pii import BASE, find_personal_data
 from deskloom.llm.sharding import shard_documents
+from deskloom.llm.toxicity import REJECT, Scorer, fit, score_documents
 from deskloom.llm.url_filter import judge_urls
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +27,22 @@ def query(function):
     return function
 
 
+def held_out() -> F.Column:
+    """Rows whose labels must not be learned from."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+
+
+def toxicity_scorer(spark: SparkSession, sf_dir: str) -> Scorer:
+    return fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out())
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_documents(table(spark, sf_dir, "documents"), toxicity_scorer(spark, sf_dir))
+    predicted = (F.col("score") >= REJECT).cast("int").alias("predicted")
+    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", predicted)
+
+
 @query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
