@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from deskloom.llm.common import table
 from deskloom.llm.ctph import neighbour_fingerprints
 from deskloom.llm.exact_dedup import exact_duplicates
+from deskloom.llm.mixing import DomainModel, document_rates, fit_domains
 from deskloom.llm.ngram_join import ngram_components
 from deskloom.llm.packing import pack_documents
 from deskloom.llm.pii import BASE, find_personal_data
@@ -130,3 +131,22 @@ ORACLES["op9_exact_dedup"] = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
     doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+
+
+#: The share of the tokens that each domain, a language and a quality mark, is to have.
+MIX = {
+    "en/1": 0.42, "en/0": 0.06, "de/1": 0.14, "de/0": 0.03, "fr/1": 0.14, "fr/0": 0.03, "es/1": 0.15, "es/0": 0.03,
+}
+
+
+def domain_model(spark: SparkSession, sf_dir: str) -> DomainModel:
+    documents = table(spark, sf_dir, "documents")
+    marks = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    labelled = marks.join(documents.select("doc_id", "lang"), "doc_id")
+    labelled = labelled.select("doc_id", F.concat_ws("/", "lang", "quality").alias("domain"))
+    return fit_domains(documents, labelled, sorted(MIX))
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_rates(table(spark, sf_dir, "documents"), domain_model(spark, sf_dir), MIX)
