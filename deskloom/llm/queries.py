@@ -13,6 +13,7 @@ from deskloom.llm.mixing import DomainModel, document_rates, fit_domains
 from deskloom.llm.ngram_join import ngram_components
 from deskloom.llm.packing import pack_documents
 from deskloom.llm.pii import BASE, find_personal_data
+from deskloom.llm.preference import CLOSE, conversations, preference_pairs
 from deskloom.llm.sharding import shard_documents
 from deskloom.llm.toxicity import REJECT, Scorer, fit, score_documents
 from deskloom.llm.url_filter import judge_urls
@@ -49,6 +50,84 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A conversation is chosen; rejected is the same conversation with the answer that the next
+    conversation number ends on. So every conversation makes one pair and its own turns up to its
+    last answer are common. Spans are joined to strings of start:end."""
+    whole = conversations(table(spark, sf_dir, "conversations"))
+    answers = F.filter("turns", lambda t: t["role"] == "assistant")
+    other = whole.select(
+        (F.col("conv_id") - 1).alias("conv_id"), F.try_element_at(answers, F.lit(-1)).alias("answer")
+    )
+    place = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i).otherwise(-1)))
+    worse = F.when(
+        (F.col("place") >= 0) & F.col("answer").isNotNull(),
+        F.concat(F.slice("turns", F.lit(1), F.col("place")), F.array("answer")),
+    ).otherwise(F.col("turns"))
+    pairs = (
+        whole.join(other, "conv_id", "left")
+        .withColumn("place", place)
+        .select("conv_id", F.col("turns").alias("chosen"), worse.alias("rejected"))
+    )
+    made = preference_pairs(pairs)
+    for side in ("chosen_spans", "rejected_spans"):
+        joined = F.transform(side, lambda s: F.concat_ws(":", s["start"], s["end"]))
+        made = made.withColumn(side, F.array_join(joined, ","))
+    return made.withColumn("n_common", F.col("n_common").cast("long"))
+
+
+def _preference_sql() -> str:
+    shown = "'<|' || coalesce(t.role, '') || '|>\n' || coalesce(t.text, '') || '<|end|>\n'".replace("\n", "' || chr(10) || '")
+
+    def side(number: str, turns: str, out: str) -> str:
+        return f"""
+{out}_turns AS (
+    SELECT p.conv_id, x.place, x.t, length({shown}) AS size, {shown} AS shown
+    FROM pairs p, LATERAL (SELECT unnest({turns}) AS t, unnest(range(len({turns}))) AS place) x
+    WHERE x.place >= p.{number}
+), {out}_at AS (
+    SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY place) AS upto FROM {out}_turns
+), {out} AS (
+    SELECT a.conv_id, string_agg(a.shown, '' ORDER BY a.place) AS body,
+        string_agg((m.prompt_size + a.upto - length(coalesce(a.t.text, '')) - {len(CLOSE)})::BIGINT || ':' || (m.prompt_size + a.upto)::BIGINT, ','
+            ORDER BY a.place) FILTER (WHERE a.t.role = 'assistant') AS spans
+    FROM {out}_at a JOIN prompts m USING (conv_id) GROUP BY a.conv_id
+)"""
+
+    return f"""
+WITH whole AS (
+    SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn, role, text) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), last AS (
+    SELECT *, len(turns) - list_position(list_reverse(list_transform(turns, lambda t: t.role)), 'assistant') AS place FROM whole
+), both_sides AS (
+    SELECT l.conv_id, l.turns AS chosen, l.place,
+        CASE WHEN l.place IS NOT NULL AND o.place IS NOT NULL
+            THEN list_concat(l.turns[1:l.place], [o.turns[o.place + 1]]) ELSE l.turns END AS rejected
+    FROM last l LEFT JOIN last o ON o.conv_id = l.conv_id + 1
+), matched AS (
+    SELECT *, coalesce(list_min(list_filter(range(1, least(len(chosen), len(rejected)) + 1),
+        lambda i: chosen[i] IS DISTINCT FROM rejected[i])) - 1, least(len(chosen), len(rejected))) AS same
+    FROM both_sides
+), pairs AS (
+    SELECT conv_id, chosen, rejected,
+        CASE WHEN same = len(chosen) AND same = len(rejected) AND place IS NOT NULL THEN place ELSE same END AS n_common
+    FROM matched
+), prompts AS (
+    SELECT p.conv_id, coalesce(string_agg({shown}, '' ORDER BY x.place), '') AS prompt,
+        coalesce(sum(length({shown})), 0)::BIGINT AS prompt_size
+    FROM pairs p LEFT JOIN LATERAL (SELECT unnest(chosen) AS t, unnest(range(len(chosen))) AS place) x ON x.place < p.n_common
+    GROUP BY p.conv_id
+), {side('n_common', 'chosen', 'c')}, {side('n_common', 'rejected', 'r')}
+SELECT p.conv_id, p.n_common::BIGINT AS n_common, m.prompt, coalesce(c.body, '') AS chosen_text,
+    coalesce(r.body, '') AS rejected_text, coalesce(c.spans, '') AS chosen_spans, coalesce(r.spans, '') AS rejected_spans
+FROM pairs p JOIN prompts m USING (conv_id) LEFT JOIN c USING (conv_id) LEFT JOIN r USING (conv_id)"""
+
+
+ORACLES["op3_preference"] = _preference_sql()
+
+
 # fixed values: the rules that every page url is held against
 URL_RULES = [
     ("com", "/", "allow"),
