@@ -43,6 +43,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    x = np.sort(x)
+    keep = np.empty(len(x), bool)
+    keep[:1] = True
+    np.not_equal(x[1:], x[:-1], out=keep[1:])
+    return x[keep]
+
+
 def slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, row offsets) of pieces of about SLICE_BYTES; null is empty."""
     texts = texts.fill_null("").cast(pa.large_string())
@@ -85,7 +94,7 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
         for row in range(last - first):
             start, end = at[row], at[row + 1]
             if end - start >= words:
-                yield np.unique(grams[start : end - words + 1])
+                yield distinct(grams[start : end - words + 1])
             elif end > start:
                 short = hashed[start:end]
                 yield mix((short * _PLACE[: len(short)]).sum(dtype=np.uint64, keepdims=True) + _PLACE[words + len(short)])
