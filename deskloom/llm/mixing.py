@@ -33,7 +33,7 @@ from deskloom.llm.shingles import slices, word_hashes
 from deskloom.session import cut_lineage
 
 BUCKETS = 1 << 16
-ROWS_PER_DOMAIN = 500
+ROWS_PER_DOMAIN = 400
 EPOCHS = 60
 SEED = 11
 STEPS = 100
@@ -88,31 +88,38 @@ def train_classifier(texts: list[str], domain: np.ndarray, domains: list[str], e
     model = DomainModel(domains, np.zeros((BUCKETS, k), np.float32), np.zeros(k))
     if not len(texts):
         return model
-    parts = list(hashed_words(pa.array(texts, pa.string())))
-    buckets = np.concatenate([p[0] for p in parts])
-    upto = np.append(0, np.cumsum(np.concatenate([np.diff(p[1]) for p in parts])))
-    n = np.diff(upto)
-    used, place = np.unique(buckets, return_inverse=True)
-    row = np.repeat(np.arange(len(n)), n)
-    share = 1 / np.maximum(n, 1)[row]
+    held, counts = [], []
+    for start in range(0, len(texts), 100):
+        for buckets, upto in hashed_words(pa.array(texts[start : start + 100], pa.string())):
+            held.append(buckets.astype(np.uint16))
+            counts.append(np.diff(upto))
+    n = np.concatenate(counts)
+    # one entry per document and word, with the word's share of the document
+    cells, times = np.unique(np.repeat(np.arange(len(n)) * BUCKETS, n) + np.concatenate(held), return_counts=True)
+    row = (cells // BUCKETS).astype(np.int32)
+    used, place = np.unique((cells % BUCKETS).astype(np.int32), return_inverse=True)
+    place = place.ravel().astype(np.int32)
+    share = (times * k / np.maximum(n, 1)[row]).astype(np.float32)
     truth = np.eye(k)[domain]
     weight = (1 / np.maximum(np.bincount(domain, minlength=k), 1))[domain]
     weight /= weight.sum()
-    w, bias = np.zeros((len(used), k)), np.zeros(k)
-    mean, square = [0.0, 0.0], [0.0, 0.0]
+    w, bias = np.zeros((k, len(used)), np.float32), np.zeros(k)
+    mean, square = np.zeros_like(w), np.zeros_like(w)
+    bias_mean, bias_square = np.zeros(k), np.zeros(k)
     for step in range(1, epochs + 1):
-        p = _softmax(_row_means(w[place], upto) * k + bias)
-        error = (p - truth) * weight[:, None]
-        spread = error[row] * share[:, None] * k
-        grads = [
-            np.stack([np.bincount(place, spread[:, c], minlength=len(used)) for c in range(k)], axis=1) + 1e-6 * w,
-            error.sum(axis=0),
-        ]
-        for i, (value, g) in enumerate(zip((w, bias), grads)):
-            mean[i] = 0.9 * mean[i] + 0.1 * g
-            square[i] = 0.99 * square[i] + 0.01 * g * g
-            value -= 0.1 * (mean[i] / (1 - 0.9**step)) / (np.sqrt(square[i] / (1 - 0.99**step)) + 1e-8)
-    model.weights[used] = w
+        scores = np.stack([np.bincount(row, w[c][place] * share, minlength=len(n)) for c in range(k)], axis=1)
+        error = (_softmax(scores + bias) - truth) * weight[:, None]
+        fix, fix_square = 1 - 0.9**step, 1 - 0.99**step
+        for c in range(k):
+            g = np.bincount(place, error[:, c].astype(np.float32)[row] * share, minlength=len(used)) + 1e-6 * w[c]
+            mean[c] += 0.1 * (g - mean[c])
+            square[c] += 0.01 * (g * g - square[c])
+            w[c] -= 0.1 * (mean[c] / fix) / (np.sqrt(square[c] / fix_square) + 1e-8)
+        g = error.sum(axis=0)
+        bias_mean += 0.1 * (g - bias_mean)
+        bias_square += 0.01 * (g * g - bias_square)
+        bias -= 0.1 * (bias_mean / fix) / (np.sqrt(bias_square / fix_square) + 1e-8)
+    model.weights[used] = w.T
     model.bias = bias
     return model
 
