@@ -31,10 +31,13 @@ def conversations(
     conversation is one training example, so its turns fit in one row."""
     rows = pick(turns, conv_id=conv_col, turn=turn_col, role=role_col, text=text_col).filter(F.col("conv_id").isNotNull())
     held = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
-    bare = F.transform(
-        held, lambda t: F.struct(F.coalesce(t["role"], F.lit("")).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text"))
+    return rows.groupBy("conv_id").agg(_without_nulls(held).alias("turns"))
+
+
+def _without_nulls(turns: Column) -> Column:
+    return F.transform(
+        turns, lambda t: F.struct(F.coalesce(t["role"], F.lit("")).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text"))
     )
-    return rows.groupBy("conv_id").agg(bare.alias("turns"))
 
 
 def common_turns(chosen: Column, rejected: Column) -> Column:
@@ -72,7 +75,7 @@ def preference_pairs(
     """``pairs`` with n_common, prompt, chosen_text, rejected_text, chosen_spans and rejected_spans
     in place of the two turn lists, which are arrays of (role, text)."""
     empty = F.expr("array()").cast("array<struct<role:string,text:string>>")
-    chosen, rejected = (F.coalesce(F.col(f"`{c}`"), empty) for c in (chosen_col, rejected_col))
+    chosen, rejected = (_without_nulls(F.coalesce(F.col(f"`{c}`"), empty)) for c in (chosen_col, rejected_col))
     others = [c for c in pairs.columns if c not in (chosen_col, rejected_col)]
     base = pairs.select(
         *[F.col(f"`{c}`") for c in others], chosen.alias("__c"), rejected.alias("__r"), common_turns(chosen, rejected).alias("__n")
