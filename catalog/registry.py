@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from catalog import prose, sql
 from deskloom.functions import lexicon as lex
 from deskloom.functions import text as tx
+from deskloom.functions.index_rules import INDEX_RULES
 from deskloom.functions.rules import classify, classify_by_score, consistent, with_response_type, with_signals
 from deskloom.operators import evidence as ev
 from deskloom.operators import learning, metrics, profile, retrieval, review, sampling, skew, threads, tfidf
@@ -242,11 +243,11 @@ def tokens(spark, sf):
 
 
 @query("ngrams", f"""with {sql.terms('d', '(select lang as part, doc_id, text from documents)', prose.SPEC)}
-select doc_id, term, tf::bigint as tf from d_terms where contains(term, ' ') and tf > 1""")
+select doc_id, term, tf::bigint as tf from d_terms""")
 def ngrams(spark, sf):
-    """Bigrams that repeat within their document."""
+    """All words and bigrams of every document with their counts."""
     counts = tfidf.term_counts(documents(spark, sf, "doc_id", "text", "lang"), prose.SPEC, "doc_id", "text", "lang")
-    return counts.filter(F.col("term").contains(" ") & (F.col("tf") > 1)).select("doc_id", "term", "tf")
+    return counts.select("doc_id", "term", "tf")
 
 
 # === classification ===================================================================================
@@ -278,6 +279,17 @@ ORACLES["classify_support"] = f"""select id, {sql.label_case(SUPPORT_RULES, 'm')
   select 'd' || doc_id as id, {sql.clean('text', 'message')} as m from documents
   union all select conv_id || '-' || turn, {sql.clean('text', 'message')} from conversations)"""
 
+
+@query("classify_index_v3", f"""select id, {sql.label_case(INDEX_RULES, 'm')} as intent from (
+  select 'd' || doc_id as id, {sql.clean('text', 'index')} as m from documents
+  union all select conv_id || '-' || turn, {sql.clean('text', 'index')} from conversations)""")
+def classify_index_v3(spark, sf):
+    """The rules that label historical cases, over all documents and turns."""
+    docs = documents(spark, sf).select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "text")
+    turns = messages(spark, sf).select(F.col("message_id").alias("id"), "text")
+    return classify(docs.unionByName(turns), INDEX_RULES, "text").select("id", "intent")
+
+
 LABEL, SCORE = sql.score_case(prose.SCORED, "m")
 
 
@@ -334,10 +346,10 @@ CASE_INDEX = f"with {sql.cases()},\n{C_SRC},\n{sql.index('c', 'c_src', prose.SPE
 
 @query("term_df", f"""with {sql.terms('d', '(select lang as part, doc_id, text from documents)', prose.SPEC)},
 parts as (select lang as part, count(*) as docs from documents group by lang)
-select part, term, count(*)::bigint as df, docs::bigint as docs from d_terms join parts using (part) group by part, term, docs having count(*) >= 2""")
+select part, term, count(*)::bigint as df, docs::bigint as docs from d_terms join parts using (part) group by part, term, docs""")
 def term_df(spark, sf):
     counted = tfidf.document_frequency(documents(spark, sf, "doc_id", "text", "lang"), prose.SPEC, "doc_id", "text", "lang")
-    return counted.filter(F.col("df") >= prose.SPEC.min_df).select("part", "term", "df", "docs")
+    return counted.select("part", "term", "df", "docs")
 
 
 @query("build_index", CASE_INDEX + " select part, doc_id as case_id, term, round(weight, 6) as weight from c_vec")
@@ -347,13 +359,20 @@ def build_index(spark, sf):
     return entries.select("part", "case_id", "term", r6("weight").alias("weight"))
 
 
-@query("index_roundtrip", CASE_INDEX + " select part, term, df::bigint as df, round(idf, 6) as idf from c_vocab")
+@query("index_roundtrip", CASE_INDEX + """, sizes as (select part, count(*) as docs from c_src group by part)
+select v.part, v.doc_id as case_id, c.customer_text, v.term, round(v.weight, 6) as weight, w.df::bigint as df, round(w.idf, 6) as idf, s.docs::bigint as docs
+from c_vec v join c_vocab w using (part, term) join sizes s using (part) join cases c on c.case_id = v.doc_id""")
 def index_roundtrip(spark, sf):
     cases, index = case_index(spark, sf)
     path = scratch(spark)
     index_store.save_index(index, cases, path)
-    loaded, _ = index_store.load_index(spark, path)
-    return loaded.vocab.select("part", "term", "df", r6("idf").alias("idf"))
+    loaded, kept = index_store.load_index(spark, path)
+    entries = loaded.postings().join(loaded.members, ["part", "vec_id"]).drop("salts")
+    joined = entries.join(loaded.vocab, ["part", "term"]).join(F.broadcast(loaded.parts), "part")
+    joined = joined.join(kept.select("case_id", "customer_text"), "case_id")
+    return joined.select(
+        "part", "case_id", "customer_text", "term", r6("weight").alias("weight"), "df", r6("idf").alias("idf"), "docs"
+    )
 
 
 RETRIEVAL = f"""with {sql.cases()},
@@ -456,7 +475,7 @@ def leakage_check(spark, sf):
 
 
 @query("leakage_guard", f"""select doc_id, line from (select doc_id, unnest(string_split(text, chr(10))) as line from documents)
-where {sql.clean('line', 'index')} not in (
+where {sql.clean('line', 'index')} = '' or {sql.clean('line', 'index')} not in (
   select {sql.clean('line', 'index')} from (select unnest(string_split(text, chr(10))) as line from benchmark))""")
 def leakage_guard(spark, sf):
     """Document lines that are not also benchmark lines."""
@@ -684,7 +703,7 @@ def safety_proxy(spark, sf):
     return out.withColumns({c: r6(c) for c in ("auto_rate", "escalation_rate", "safety_proxy")})
 
 
-@query("similarity_coverage", PRED + """, s as (select cast(round(cast(selected_similarity as decimal(18, 9)), 6) as double) as s from predictions where evidence_selected)
+@query("similarity_coverage", PRED + """, s as (select selected_similarity as s from predictions where evidence_selected)
 select count(*)::bigint as rows, count(*) filter (s >= 0.2)::bigint as at_least_20, count(*) filter (s >= 0.3)::bigint as at_least_30,
   count(*) filter (s >= 0.4)::bigint as at_least_40, count(*) filter (s >= 0.5)::bigint as at_least_50,
   round(avg(s), 6) as mean_similarity, round(median(s), 5) as median_similarity from s""")
@@ -995,12 +1014,13 @@ def parse_cases(spark, sf):
     )
 
 
-@query("csv_roundtrip", f"with {sql.MESSAGES} select message_id, author_id, inbound, text, parent_id from messages")
+@query("csv_roundtrip", f"with {sql.MESSAGES} select message_id, author_id, inbound, created::bigint as created, text, parent_id from messages")
 def csv_roundtrip(spark, sf):
     path = scratch(spark)
-    sinks.write_csv(messages(spark, sf).drop("created_at"), path)
-    schema = "message_id string, author_id string, inbound boolean, text string, parent_id string"
-    return read_table(spark, path, schema)
+    sinks.write_csv(messages(spark, sf), path)
+    schema = "message_id string, author_id string, inbound boolean, created_at timestamp, text string, parent_id string"
+    read = read_table(spark, path, schema)
+    return read.withColumn("created", F.unix_seconds("created_at")).drop("created_at")
 
 
 # === clusters and models ==========================================================================================

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from deskloom.functions import lexicon as lex
+from deskloom.functions.index_rules import INDEX_RULES
 from deskloom.functions.rules import GateStep, ResponseRules, Rule, RuleSet
 
 SUPPORT_RULES = RuleSet(
@@ -82,4 +83,4 @@ class Policy:
         return replace(self, name=self.name + "_strict", require_actionable=True)
 
 
-SUPPORT = Policy()
+SUPPORT = Policy(case_rules=INDEX_RULES)

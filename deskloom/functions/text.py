@@ -78,9 +78,10 @@ def word_count(cleaned: Column) -> Column:
 
 
 def is_useful(squeezed: Column, min_chars: int = 20, min_words: int = 4) -> Column:
-    """Long enough in characters and words. One pattern names the cleaned text once: a filter
-    is pushed below the projection that cleans, and would repeat it for every mention."""
-    return squeezed.rlike(rf"^(?=.{{{min_chars},}}$)[^ ]+(?: [^ ]+){{{min_words - 1},}}$")
+    """Long enough in characters and words. The words of a squeezed text are its blanks and one;
+    counting them needs no pattern with a repeated group, which recurses once per word."""
+    words = F.length(squeezed) - F.length(F.replace(squeezed, F.lit(" "))) + 1
+    return (F.length(squeezed) >= max(1, min_chars)) & (words >= min_words)
 
 
 # --- phrases ----------------------------------------------------------------------------
@@ -96,9 +97,10 @@ def contains_any(text: Column, phrases: Sequence[str], match: str = "substring")
         return text.rlike(f"(?<!{WORD})(?:{body})(?!{WORD})")
     if match != "substring":
         raise ValueError(f"unknown match mode {match!r}")
-    hit = text.contains(phrases[0])
-    for phrase in phrases[1:]:
-        hit = hit | text.contains(phrase)
+    hit = None
+    for phrase in phrases:
+        if not any(other != phrase and other in phrase for other in phrases):
+            hit = text.contains(phrase) if hit is None else hit | text.contains(phrase)
     return hit
 
 

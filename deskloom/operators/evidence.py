@@ -136,7 +136,8 @@ def decide_first_hit(df: DataFrame, policy: Policy) -> DataFrame:
         reason = F.when(hit, F.lit(why)) if reason is None else reason.when(hit, F.lit(why))
     escalates = F.col("intent").isin(*policy.always_escalate)
     reason = (
-        reason.when(~F.col("evidence_available"), F.lit(lex.REASON_NO_EVIDENCE))
+        (F if reason is None else reason)
+        .when(~F.col("evidence_available"), F.lit(lex.REASON_NO_EVIDENCE))
         .when(similarity < policy.min_ground, F.format_string(lex.REASON_V1_WEAK, similarity))
         .when(~F.coalesce(F.col("is_safe"), F.lit(False)), F.lit(lex.REASON_V1_UNSAFE))
         .when(similarity < policy.min_auto, F.format_string(lex.REASON_V1_LOW, similarity))

@@ -14,18 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskloom.functions import text as tx
-from deskloom.operators.skew import lookup_join, top_within
-from deskloom.operators.tfidf import TfidfSpec, build_vocab, part_sizes, term_counts, term_occurrences
+from deskloom.operators.skew import lookup_join, rank_within, top_within
+from deskloom.operators.tfidf import TfidfSpec, build_vocab, exploded, part_sizes, term_counts, term_table
 from deskloom.session import checkpoint_dir, cut_lineage
 
 ONE = "all"
 
 
 def term_positions(vocab: DataFrame) -> DataFrame:
-    """(term, position): at most ``max_features`` rows, the bound of a model's width."""
-    from pyspark.sql import Window
-
-    return vocab.withColumn("position", F.row_number().over(Window.orderBy("term")) - 1)
+    """The vocabulary with the ``position`` of each term, in the order of a hash of the term, so that
+    no task numbers the whole vocabulary."""
+    ranked = rank_within(vocab.withColumn("__hash", F.md5("term")), ["part"], "__hash")
+    return ranked.withColumn("position", (F.col("rank_no") - 1).cast("int")).drop("__hash", "rank_no", "group_rows")
 
 
 def sparse_features(
@@ -45,11 +45,10 @@ def sparse_features(
     vocab = cut_lineage(term_positions(vocab))
     width = vocab.count()
     tf = (F.lit(1.0) + F.log(F.col("tf"))) if spec.sublinear else F.col("tf").cast("double")
-    found = term_occurrences(docs.withColumn("__part", F.lit(ONE)), spec, id_col, text_col, "__part")
+    found = term_table(docs.withColumn("__part", F.lit(ONE)), spec, id_col, text_col, "__part")
     gathered = (
-        found.join(F.broadcast(vocab), ["part", "term"])
-        .groupBy("doc_id", "position", "idf")
-        .agg(F.count(F.lit(1)).alias("tf"))
+        exploded(found.repartition("doc_id"))
+        .join(vocab, ["part", "term"])
         .select("doc_id", "position", (tf * F.col("idf")).alias("raw"))
         .groupBy("doc_id")
         .agg(
@@ -57,22 +56,21 @@ def sparse_features(
             F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"),
         )
     )
+    # a document without a known term has the zero vector, written as two empty arrays
+    gathered = docs.select(F.col(id_col).alias("doc_id")).join(gathered, "doc_id", "left")
+    entries = F.coalesce("es", F.expr("array()").cast("array<struct<position:int,raw:double>>"))
     layout = F.struct(
         F.lit(0).cast("tinyint").alias("type"),
         F.lit(width).alias("size"),
-        F.transform("es", lambda x: x["position"].cast("int")).alias("indices"),
-        F.transform("es", lambda x: x["raw"] / F.col("norm")).alias("values"),
+        F.transform(entries, lambda x: x["position"]).alias("indices"),
+        F.transform(entries, lambda x: x["raw"] / F.col("norm")).alias("values"),
     )
     path = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     gathered.select("doc_id", layout.alias("features")).write.parquet(path)
     schema = T.StructType(
         [T.StructField("doc_id", found.schema["doc_id"].dataType), T.StructField("features", VectorUDT())]
     )
-    read = spark.read.schema(schema).parquet(path)
-    empty = F.udf(lambda: Vectors.sparse(width, {}), VectorUDT())()
-    # a document without a known term has the zero vector
-    full = docs.select(F.col(id_col).alias("doc_id")).join(read, "doc_id", "left")
-    return full.withColumn("features", F.coalesce("features", empty)), vocab, width
+    return spark.read.schema(schema).parquet(path), vocab, width
 
 
 def balanced_weights(df: DataFrame, label: str) -> DataFrame:
@@ -84,11 +82,11 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def train_intent_model(
-    train: DataFrame, test: DataFrame, id_col: str, text_col: str, label: str, spec: TfidfSpec | None = None, max_iter: int = 100
+    train: DataFrame, test: DataFrame, id_col: str, text_col: str, label: str, spec: TfidfSpec | None = None, max_iter: int = 2000
 ) -> tuple[LogisticRegressionModel, DataFrame]:
     """Class-balanced multinomial regression on TF-IDF; returns the model and
     (id, gold, predicted) for ``test``."""
-    spec = spec or TfidfSpec(profile="lower", max_df=0.95, max_features=100_000)
+    spec = spec or TfidfSpec(profile="lower", max_df=0.95, max_features=None)
     plain = lambda df: df.withColumn("__plain", tx.strip_accents(F.col(text_col)))
     both = plain(train).select(id_col, "__plain").unionByName(plain(test).select(id_col, "__plain"))
     features, _, _ = sparse_features(both, plain(train).select(id_col, "__plain"), spec, id_col, "__plain")
@@ -156,16 +154,37 @@ def cluster_messages(
     return best, best.transform(ready), list(counter.vocabulary)
 
 
-def cluster_distance(clustered: DataFrame, model: KMeansModel) -> DataFrame:
-    """Add ``distance``: squared Euclidean distance to the own centre, from dot products:
-    |x|^2 - 2 x.c + |c|^2 with |x| = 1. The centres are k rows of bounded width."""
+def cluster_distance(clustered: DataFrame, model: KMeansModel, id_col: str = "id") -> DataFrame:
+    """Add ``distance``: squared Euclidean distance to the own centre, over the entries that a row
+    has. The centres are k rows of bounded width."""
     spark = clustered.sparkSession
     centres = spark.createDataFrame(
-        [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())], "cluster int, centre array<double>"
+        [(i, j, float(v)) for i, c in enumerate(model.clusterCenters()) for j, v in enumerate(c) if v],
+        "cluster int, dim int, centre double",
+    )
+    entries = clustered.select(
+        "cluster", id_col, F.explode_outer(F.filter(_numbered("features"), lambda e: e["x"] != 0)).alias("e")
+    ).select("cluster", id_col, F.col("e.dim").alias("dim"), F.col("e.x").alias("x"))
+    near = sparse_distances(entries, centres, "cluster", id_col)
+    return clustered.join(near.drop("cluster"), id_col)
+
+
+def _numbered(vector: str) -> F.Column:
+    return F.transform(vector_to_array(vector), lambda x, i: F.struct(i.alias("dim"), x.alias("x")))
+
+
+def sparse_distances(entries: DataFrame, centres: DataFrame, cluster: str, id_col: str) -> DataFrame:
+    """(cluster, id, distance) from rows (cluster, id, dim, x) and (cluster, dim, centre):
+    |c|^2 + sum over the row's own entries of x^2 - 2 x c. A null dim is a row without entries."""
+    norms = centres.groupBy(cluster).agg(F.sum(F.col("centre") * F.col("centre")).alias("__norm"))
+    own = F.col("x") * F.col("x") - 2 * F.col("x") * F.coalesce("centre", F.lit(0.0))
+    sums = (
+        entries.join(centres, [cluster, "dim"], "left")
+        .groupBy(cluster, id_col)
+        .agg(F.coalesce(F.sum(own), F.lit(0.0)).alias("__own"))
     )
-    joined = clustered.join(F.broadcast(centres), "cluster")
-    diff = F.zip_with(vector_to_array("features"), "centre", lambda x, c: (x - c) * (x - c))
-    return joined.withColumn("distance", F.aggregate(diff, F.lit(0.0), lambda a, x: a + x)).drop("centre")
+    joined = sums.join(F.broadcast(norms), cluster, "left")  # one row per cluster
+    return joined.select(cluster, id_col, (F.col("__own") + F.coalesce("__norm", F.lit(0.0))).alias("distance"))
 
 
 # --- the same reports for any assignment of rows to clusters ------------------------------------------------

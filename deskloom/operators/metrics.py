@@ -147,14 +147,17 @@ def similarity_coverage(
     """Rows at or above each threshold, mean and median; over all rows or only those with
     selected evidence."""
     rows = predictions.filter("evidence_selected") if selected_only else predictions
-    levels = rows.groupBy(F.round(similarity, 6).alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    # thresholds and mean on the values as they are; only the median goes by levels of six decimals
+    counts = [f"at_least_{round(t * 100):02d}" for t in thresholds]
+    levels = rows.groupBy(F.round(similarity, 6).alias("s")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(similarity).alias("total_similarity"),
+        *[F.count_if(F.col(similarity) >= t).alias(c) for t, c in zip(thresholds, counts)],
+    )
     return running_levels(levels, "s").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        *[
-            F.coalesce(F.sum(F.when(F.col("s") >= t, F.col("n"))), F.lit(0)).alias(f"at_least_{round(t * 100):02d}")
-            for t in thresholds
-        ],
-        (F.sum(F.col("s") * F.col("n")) / F.sum("n")).alias("mean_similarity"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts],
+        (F.sum("total_similarity") / F.sum(F.when(F.col("s").isNotNull(), F.col("n")))).alias("mean_similarity"),
         median_of("s").alias("median_similarity"),
     )
 

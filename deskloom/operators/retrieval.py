@@ -123,15 +123,16 @@ def retrieve(
     make is read off the vocabulary first; beyond ``pair_budget`` the pruned search runs,
     which returns the same rows.
     """
-    if k > index.spec.max_top_k:
-        raise ValueError(f"the index keeps {index.spec.max_top_k} copies per vector, asked for {k}")
     entries, owners, postings = vectorize_queries(queries, index, id_col, text_col, part_col)
     if postings <= pair_budget:
         best = _best(_scores(entries, index), k)
     else:
         best = _nearest_vectors(cut_lineage(entries), index, k)
-    members = index.members.filter(F.col("member_no") <= k)
-    cases = best.join(members, ["part", "vec_id"])
+    best = cut_lineage(best)
+    # no later copy of a vector can be among the first k: each task passes on k of them at most
+    found = index.members.join(best.select("part", "vec_id").distinct(), ["part", "vec_id"], "left_semi")
+    heads = top_within(found, ["part", "vec_id"], [F.col("case_id")], k)
+    cases = best.join(heads, ["part", "vec_id"])
     ranked = top_within(
         cases, ["part", "q_key"], [F.col("score").desc(), F.col("case_id")], k, out="rank_no"
     )
@@ -147,16 +148,15 @@ def retrieve(
 def with_cases(hits: DataFrame, cases: DataFrame) -> DataFrame:
     """Attach texts, response type and, if present, problem signals of the retrieved cases."""
     extra = [c for c in ("historical_signals",) if c in cases.columns]
-    return hits.join(
-        cases.select(
-            "case_id",
-            F.col("customer_text").alias("historical_customer"),
-            F.col("support_reply").alias("historical_reply"),
-            "response_type",
-            *extra,
-        ),
+    details = cases.select(
         "case_id",
+        F.col("customer_text").alias("historical_customer"),
+        F.col("support_reply").alias("historical_reply"),
+        "response_type",
+        *extra,
     )
+    # the best case of a popular message owns a large share of the hits
+    return lookup_join(hits, details, "case_id", spread_by=["query_id"])
 
 
 def type_priority(response_type: F.Column) -> F.Column:
@@ -182,7 +182,7 @@ def rerank(hits: DataFrame, k: int, min_similarity: float = lex.MIN_SIMILARITY)
 def knn_vote(hits: DataFrame, labels: DataFrame, label_col: str = "label") -> DataFrame:
     """(query_id, predicted, votes): neighbours vote with 1/distance; exact copies outvote
     everything else; ties go to the smaller label."""
-    joined = hits.join(labels.select("case_id", label_col), "case_id")
+    joined = lookup_join(hits, labels.select("case_id", label_col), "case_id", spread_by=["query_id"])
     distance = F.lit(1.0) - F.col("similarity")
     exact = F.col("similarity") >= 1.0 - EPS
     tallied = joined.groupBy("query_id", label_col).agg(
@@ -218,5 +218,10 @@ def without_leaks(
 ) -> DataFrame:
     """Corpus rows whose cleaned text is not also a query: run it before building an index
     that is going to be evaluated with these queries."""
-    keys = queries.select(F.md5(tx.clean(F.col(query_text), "index")).alias("__key")).distinct()
-    return corpus.withColumn("__key", F.md5(tx.clean(F.col(case_text), "index"))).join(keys, "__key", "left_anti").drop("__key")
+
+    def key(text: str) -> F.Column:
+        # a text without any kept character is like no other one
+        return F.md5(F.nullif(tx.clean(F.col(text), "index"), F.lit("")))
+
+    keys = queries.select(key(query_text).alias("__key")).filter(F.col("__key").isNotNull()).distinct()
+    return corpus.withColumn("__key", key(case_text)).join(keys, "__key", "left_anti").drop("__key")

@@ -36,21 +36,19 @@ class TfidfSpec:
     n_max: int = 2
     min_df: int = 2
     max_df: float = 1.0
-    max_features: int = 50_000
+    max_features: int | None = 50_000  # terms per part; None keeps all
     sublinear: bool = True
     stop_words: Sequence[str] = ()
-    max_top_k: int = 100  # copies kept per vector; see TfidfIndex.members
     postings_per_task: int = 200_000
 
 
 @dataclass(frozen=True)
 class TfidfIndex:
     """vocab(part, term, df, idf, salts) · vectors(part, vec_id, vec of (term, weight, df, salts)) · members(part, vec_id,
-    case_id, member_no) · parts(part, docs).
+    case_id) · parts(part, docs).
 
-    ``vec_id`` is the smallest case id with that vector. ``members`` holds the first
-    ``max_top_k`` cases of a vector in id order: ties are broken by id, so no later copy can
-    appear in a result of up to that many rows.
+    ``vec_id`` is the smallest case id with that vector; ``members`` holds every case that has
+    a vector. All tables are written when the index is built.
     """
 
     spec: TfidfSpec
@@ -71,30 +69,41 @@ class TfidfIndex:
         ).drop("df")
 
 
-def term_occurrences(docs: DataFrame, spec: TfidfSpec, id_col: str, text_col: str, part_col: str) -> DataFrame:
-    """(part, doc_id, term), one row per occurrence. The documents are partitioned by id
-    before their terms are exploded, so counting per document moves no exploded row.
+def term_table(docs: DataFrame, spec: TfidfSpec, id_col: str, text_col: str, part_col: str) -> DataFrame:
+    """(part, doc_id, terms), one row per document, terms as an array of (term, tf) in term order.
 
-    ``explode_outer`` with a filter behind it instead of ``explode``: for the latter the
-    optimizer puts "size > 0" on the whole tokenising expression in front of the generator,
-    inlined, which evaluates the regular expressions a dozen times per document.
+    The counts are made inside the row in linear time from the sorted terms: a term starts where
+    its value differs from the one before, and its count is the distance to the next start. So no
+    text and no single occurrence is shuffled. The sorted terms are written first: the optimizer
+    would inline the tokenising into the lambdas below and evaluate it once per element.
     """
-    words = "__words"
-    narrowed = docs.select(
-        F.col(part_col).alias("part"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text")
-    ).repartition("doc_id")
-    cleaned = narrowed.withColumn("__text", tx.clean(F.col("__text"), spec.profile))
-    split = cleaned.withColumn(
-        words, tx.drop_stop_words(tx.tokens(F.col("__text")), list(spec.stop_words))
+    narrowed = docs.select(F.col(part_col).alias("part"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"))
+    words = tx.drop_stop_words(tx.tokens(tx.clean(F.col("__text"), spec.profile)), list(spec.stop_words))
+    found = narrowed.select("part", "doc_id", words.alias("__words"))
+    found = cut_lineage(
+        found.select("part", "doc_id", F.array_sort(tx.ngrams(F.col("__words"), spec.n_max)).alias("__all"))
+    ).filter(F.size("__all") > 0)
+    size = F.size("__all")
+    places = F.filter(
+        F.sequence(F.lit(0), F.greatest(size, F.lit(1))),
+        lambda i: (i == 0) | (i >= size) | (F.get("__all", i) != F.get("__all", i - 1)),
     )
-    terms = split.select("part", "doc_id", F.explode_outer(tx.ngrams(F.col(words), spec.n_max)).alias("term"))
-    return terms.filter(F.col("term").isNotNull())
+    found = found.select("part", "doc_id", "__all", places.alias("__starts"))
+    terms = F.zip_with(
+        F.slice("__starts", F.lit(1), F.size("__starts") - 1),
+        F.slice("__starts", F.lit(2), F.size("__starts") - 1),
+        lambda i, j: F.struct(F.get("__all", i).alias("term"), (j - i).cast("long").alias("tf")),
+    )
+    return found.select("part", "doc_id", terms.alias("terms"))
 
 
 def term_counts(docs: DataFrame, spec: TfidfSpec, id_col: str, text_col: str, part_col: str) -> DataFrame:
     """(part, doc_id, term, tf)"""
-    found = term_occurrences(docs, spec, id_col, text_col, part_col)
-    return found.groupBy("doc_id", "part", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return exploded(term_table(docs, spec, id_col, text_col, part_col))
+
+
+def exploded(found: DataFrame) -> DataFrame:
+    return found.select("part", "doc_id", F.inline("terms").alias("term", "tf"))
 
 
 def build_vocab(counts: DataFrame, parts: DataFrame, spec: TfidfSpec) -> DataFrame:
@@ -105,7 +114,9 @@ def build_vocab(counts: DataFrame, parts: DataFrame, spec: TfidfSpec) -> DataFra
     sized = totals.join(F.broadcast(parts), "part")  # at most MAX_PARTS rows
     if spec.max_df < 1.0:
         sized = sized.filter(F.col("df") <= F.floor(F.lit(spec.max_df) * F.col("docs")))
-    kept = top_within(sized, ["part"], [F.col("total").desc(), F.col("term")], spec.max_features)
+    kept = sized
+    if spec.max_features is not None:
+        kept = top_within(sized, ["part"], [F.col("total").desc(), F.col("term")], spec.max_features)
     return kept.select(
         "part",
         "term",
@@ -117,21 +128,16 @@ def build_vocab(counts: DataFrame, parts: DataFrame, spec: TfidfSpec) -> DataFra
 
 def weigh(found: DataFrame, vocab: DataFrame, small_vocab: bool, spec: TfidfSpec) -> DataFrame:
     """(part, doc_id, vec, key): unit-length vectors as arrays of (term, weight, df, salts)
-    sorted by term, from term occurrences. Documents without any known term are absent.
+    sorted by term, from a term table. Documents without any known term are absent.
 
-    A vocabulary of proven size is broadcast: unknown terms are gone before anything is
-    counted, and as the occurrences are partitioned by document neither the counting nor the
-    gathering moves data. A larger one is joined after counting.
+    With a vocabulary of proven size the term table is partitioned by document, one compact row
+    each, and the vocabulary is broadcast, so that the gathering moves nothing. A larger
+    vocabulary is joined by a shuffle of the terms.
     """
-    known = ["doc_id", "part", "term", "df", "idf", "salts"]
     if small_vocab:
-        counts = (
-            found.join(F.broadcast(vocab), ["part", "term"]).groupBy(*known).agg(F.count(F.lit(1)).alias("tf"))
-        )
+        counts = exploded(found.repartition("doc_id")).join(F.broadcast(vocab), ["part", "term"])
     else:
-        counts = (
-            found.groupBy("doc_id", "part", "term").agg(F.count(F.lit(1)).alias("tf")).join(vocab, ["part", "term"])
-        )
+        counts = exploded(found).join(vocab, ["part", "term"])
     tf = (F.lit(1.0) + F.log(F.col("tf"))) if spec.sublinear else F.col("tf").cast("double")
     # the norm is an aggregate: computed inside the row it would be inlined into the lambda
     # below and evaluated once per term
@@ -176,27 +182,22 @@ def part_sizes(df: DataFrame, part_col: str) -> tuple[DataFrame, int]:
 def build_index(
     cases: DataFrame, spec: TfidfSpec, id_col: str = "case_id", text_col: str = "customer_text", part_col: str = "intent"
 ) -> TfidfIndex:
-    """Index the cases. Three tables are written to the checkpoint folder on the way; use
-    ``deskloom.sources.index_store`` to keep an index for other sessions."""
+    """Index the cases: texts are tokenised in one pass, and every table of the index is written
+    to the checkpoint folder; use ``deskloom.sources.index_store`` to keep it for other sessions."""
     parts, n_parts = part_sizes(cases, part_col)
-    vocab = cut_lineage(build_vocab(term_counts(cases, spec, id_col, text_col, part_col), parts, spec))
-    bound = spec.max_features * n_parts
-    found = term_occurrences(cases, spec, id_col, text_col, part_col)
+    found = cut_lineage(term_table(cases, spec, id_col, text_col, part_col))
+    vocab = cut_lineage(build_vocab(exploded(found), parts, spec))
+    bound = vocab.count() if spec.max_features is None else spec.max_features * n_parts
     weighed = cut_lineage(weigh(found, vocab, bound <= BROADCAST_TERMS, spec))
-    vectors = weighed.groupBy("part", "key").agg(F.min("doc_id").alias("vec_id"), F.first("vec").alias("vec"))
-    members = top_within(
-        weighed.select("part", "key", F.col("doc_id").alias("case_id")),
-        ["part", "key"],
-        [F.col("case_id")],
-        spec.max_top_k,
-        out="member_no",
+    vectors = cut_lineage(weighed.groupBy("part", "key").agg(F.min("doc_id").alias("vec_id"), F.first("vec").alias("vec")))
+    members = weighed.select("part", "key", F.col("doc_id").alias("case_id")).join(
+        vectors.select("part", "key", "vec_id"), ["part", "key"]
     )
-    first_ids = members.filter(F.col("member_no") == 1).select("part", "key", F.col("case_id").alias("vec_id"))
     return TfidfIndex(
         spec=spec,
         vocab=vocab,
         vectors=vectors.select("part", "vec_id", "vec"),
-        members=members.join(first_ids, ["part", "key"]).select("part", "vec_id", "case_id", "member_no"),
+        members=cut_lineage(members.select("part", "vec_id", "case_id")),
         parts=parts,
         vocab_bound=bound,
     )
@@ -211,7 +212,7 @@ def vectorize_queries(
     per distinct query vector, owners(query_id, part, q_key) to bring results back to queries,
     and an upper bound of the (query vector, case, term) rows a plain join would make.
     """
-    found = term_occurrences(queries, index.spec, id_col, text_col, part_col)
+    found = term_table(queries, index.spec, id_col, text_col, part_col)
     weighed = cut_lineage(weigh(found, index.vocab, index.small_vocab, index.spec))
     owners = weighed.select(F.col("doc_id").alias("query_id"), "part", F.col("key").alias("q_key"))
     distinct = weighed.groupBy("part", "key").agg(F.first("vec").alias("vec"))

@@ -81,10 +81,13 @@ def messages_from_turns(turns: DataFrame) -> DataFrame:
     )
 
 
+SMALL_SPLITS = 16
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the scan has fewer splits than that (one small file); a scan
-    that is already parallel is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    """Rows over a few cores when the scan has fewer splits than that (one small file). At most
+    ``SMALL_SPLITS`` splits are ever dealt anew; a larger table is left as it is."""
+    cores = min(SMALL_SPLITS, df.sparkSession.sparkContext.defaultParallelism)
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from deskloom.operators import metrics, review, sampling
 from deskloom.operators.skew import hash_rank_key
@@ -89,6 +90,8 @@ def test_decision_metrics(spark):
     cover = metrics.similarity_coverage(df).first()
     assert (cover.at_least_30, cover.at_least_50, cover.median_similarity, cover.rows) == (2, 1, 0.15, 4)
     assert metrics.similarity_coverage(df, selected_only=True).first().mean_similarity == pytest.approx(0.4)
+    edge = metrics.similarity_coverage(df.withColumn("selected_similarity", F.lit(0.1999996))).first()
+    assert edge.at_least_20 == 0 and edge.mean_similarity == pytest.approx(0.1999996, abs=1e-9)
     quality = metrics.reply_quality(df).first()
     assert (quality.replies, quality.internal_leakage, quality.artifact_leakage) == (3, 1, 1)
     assert [r.case_id for r in metrics.risky_auto(df).collect()] == [2]

@@ -112,11 +112,6 @@ def test_index_survives_a_roundtrip(spark, built, tmp_path):
     assert loaded.spec == tfidf.TfidfSpec(**{**loaded.spec.__dict__})
 
 
-def test_too_large_k_is_refused(built):
-    with pytest.raises(ValueError):
-        retrieval.retrieve(built[3], built[4], 101)
-
-
 def test_rerank(spark):
     rows = [(1, 1, 10, 0.9, "generic"), (1, 2, 11, 0.5, "troubleshooting"), (1, 3, 12, 0.1, "troubleshooting"), (1, 4, 13, 0.4, "clarification")]
     hits = spark.createDataFrame(rows, "query_id int, rank_no int, case_id int, similarity double, response_type string")
@@ -137,3 +132,19 @@ def test_leaks(spark):
     report = retrieval.leakage_report(asked, corpus_, "query_id", "q", "case_id", "t").collect()
     assert [(r.query_id, r.copies, r.first_case) for r in report] == [(9, 2, 1)]
     assert [r.case_id for r in retrieval.without_leaks(corpus_, asked, "t", "q").collect()] == [2]
+
+
+def test_a_text_without_kept_characters_leaks_nothing(spark):
+    corpus_ = spark.createDataFrame([(1, "привет"), (2, "пока"), (3, "same words"), (4, None)], "case_id int, t string")
+    asked = spark.createDataFrame([(9, "日本語"), (8, "Same, words")], "query_id int, q string")
+    assert sorted(r.case_id for r in retrieval.without_leaks(corpus_, asked, "t", "q").collect()) == [1, 2, 4]
+
+
+def test_every_copy_is_a_member_and_any_k_is_answered(spark):
+    rows = [(i, "router light red", "a") for i in range(150)] + [(200 + i, f"router modem {i % 7} red", "a") for i in range(20)]
+    df = spark.createDataFrame(rows, "case_id int, customer_text string, intent string")
+    index = tfidf.build_index(df, tfidf.TfidfSpec(profile="index"))
+    assert index.members.count() == 170
+    asked = spark.createDataFrame([(1, "red router light", "a")], "query_id int, customer_text string, intent string")
+    hits = retrieval.retrieve(asked, index, 140).orderBy("rank_no").collect()
+    assert [r.case_id for r in hits] == list(range(140))
