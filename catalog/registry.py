@@ -18,7 +18,7 @@ from deskloom.operators import learning, metrics, profile, retrieval, review, sa
 from deskloom.plans import evaluation, indexing, triage as tri
 from deskloom.session import checkpoint_dir, configure, cut_lineage
 from deskloom.sources import index_store, parsing, sinks
-from deskloom.sources.tables import messages_from_turns, read_table, spread
+from deskloom.sources.tables import messages_from_turns, read_messages, read_table, spread
 from deskloom.streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -328,7 +328,7 @@ def consistency_gate(spark, sf):
 
 
 def case_index(spark, sf, spec=prose.SPEC):
-    return indexing.case_index(messages(spark, sf), prose.BRAND, prose.POLICY, spec)
+    return indexing.case_index(messages(spark, sf), prose.BRAND, prose.POLICY, spec, held_out=None)
 
 
 def asked(spark, sf):
@@ -853,6 +853,22 @@ def kappa(spark, sf):
     return out.select("dimension", "n", r6("exact_agreement").alias("exact_agreement"), r6("kappa").alias("kappa"))
 
 
+@query("judge_human", kappa_sql("""with r as (
+  select 'quality' as dimension, case when quality = 1 then 'YES' else 'NO' end as a, case when d.lang = 'en' then 'YES' else 'NO' end as b from labels join documents d using (doc_id)
+  union all select 'toxic', case when toxic = 1 then 'YES' else 'NO' end, case when d.n_chars > 1000 then 'YES' else 'NO' end from labels join documents d using (doc_id))""", False))
+def judge_human(spark, sf):
+    """Two tables of ratings, joined by case."""
+    marks = table(spark, sf, "labels")
+    judge = marks.select("doc_id", *[F.when(F.col(c) == 1, "Yes").otherwise("no").alias(c) for c in ("quality", "toxic")])
+    human = table(spark, sf, "documents").select(
+        "doc_id",
+        F.when(F.col("lang") == "en", "YES").otherwise("NO").alias("quality"),
+        F.when(F.col("n_chars") > 1000, "yes ").otherwise("No").alias("toxic"),
+    )
+    out = metrics.agreement(*metrics.join_raters(judge, human, "doc_id", ["quality", "toxic"]))
+    return out.select("dimension", "n", r6("exact_agreement").alias("exact_agreement"), r6("kappa").alias("kappa"))
+
+
 @query("kappa_quadratic", kappa_sql("""with e as (
   select 1 + (user_id % 5) as judge, case when event_type <> 'error' then 1 + (cast(json_extract(props, '$.k') as bigint) + user_id) % 4 end as human, event_type from events),
 r as (select 'relevance' as dimension, judge as a, human as b from e where human is not null
@@ -1023,6 +1039,28 @@ def csv_roundtrip(spark, sf):
     return read.withColumn("created", F.unix_seconds("created_at")).drop("created_at")
 
 
+@query("scan_messages", f"with {sql.MESSAGES} select message_id, author_id, inbound, created::bigint as created, text, parent_id from messages")
+def scan_messages(spark, sf):
+    """Messages delivered as CSV with weekday-first times and ids that went through a float column."""
+    path = scratch(spark)
+    sent = messages(spark, sf).select(
+        F.concat("message_id", F.lit(".0")).alias("tweet_id"),
+        "author_id",
+        F.initcap(F.col("inbound").cast("string")).alias("inbound"),
+        F.concat(
+            F.date_format("created_at", "E MMM dd HH:mm:ss"), F.lit(" "), F.date_format("created_at", "xx yyyy")
+        ).alias("created_at"),
+        "text",
+        F.lit(None).cast("string").alias("response_tweet_id"),
+        F.col("parent_id").alias("in_response_to_tweet_id"),
+    )
+    sinks.write_csv(sent, path)
+    read = read_messages(spark, path)
+    return read.select(
+        "message_id", "author_id", "inbound", F.unix_seconds("created_at").alias("created"), "text", "parent_id"
+    )
+
+
 # === clusters and models ==========================================================================================
 
 
@@ -1039,6 +1077,19 @@ def cluster_examples(spark, sf):
 CLUSTER_SPEC = prose.replace(prose.GLOBAL_SPEC, profile="cluster", min_df=5, max_df=0.9, max_features=10_000, sublinear=False)
 
 
+@query("cluster_distance", """with c as (select label, i, avg(x::double) as m from (select label, unnest(embedding) as x, unnest(range(1, len(embedding) + 1)) as i from embeddings) group by label, i)
+select v.label, vec_id, round(sum((x::double - m) * (x::double - m)), 6) as distance from (
+  select label, vec_id, unnest(embedding) as x, unnest(range(1, len(embedding) + 1)) as i from embeddings) v join c using (label, i) group by v.label, vec_id""")
+def cluster_distance(spark, sf):
+    """Squared distance of every vector to the mean of its group, from its own entries."""
+    points = table(spark, sf, "embeddings").select("label", "vec_id", F.posexplode("embedding").alias("dim", "v"))
+    points = points.select("label", "vec_id", "dim", F.col("v").cast("double").alias("x"))
+    centres = points.groupBy("label", "dim").agg(F.avg("x").alias("centre"))
+    return learning.sparse_distances(points, centres, "label", "vec_id").select(
+        "label", "vec_id", r6("distance").alias("distance")
+    )
+
+
 @query("cluster_terms", f"""with c_src as (select 'all' as part, doc_id, text from documents),
 {sql.index('c', 'c_src', CLUSTER_SPEC)},
 n as (select lang, count(*) as docs from documents group by lang),

@@ -278,6 +278,18 @@ def similar_but_irrelevant(evidence: DataFrame, at_least: float = 0.30, n: int =
 # --- agreement of two raters ----------------------------------------------------------------------------
 
 
+def join_raters(
+    judge: DataFrame, human: DataFrame, id_col: str, dimensions: Sequence[str]
+) -> tuple[DataFrame, dict[str, tuple[str, str]]]:
+    """Cases that both tables rate, with ``judge_x`` and ``human_x`` per dimension, and the pairs
+    that ``agreement`` takes. Each table has one row per case."""
+    sides = [
+        df.select(id_col, *[F.col(d).alias(f"{name}_{d}") for d in dimensions])
+        for name, df in (("judge", judge), ("human", human))
+    ]
+    return sides[0].join(sides[1], id_col), {d: (f"judge_{d}", f"human_{d}") for d in dimensions}
+
+
 def agreement(df: DataFrame, pairs: Mapping[str, tuple[str, str]], weights: str | None = None) -> DataFrame:
     """dimension, n, exact_agreement, kappa for each named pair of rater columns.
 

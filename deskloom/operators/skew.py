@@ -12,16 +12,15 @@ ROWS_PER_TASK = 1_000_000
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> list[tuple]:
-    """(key, pieces) of the keys with more than ``rows_per_task`` rows: one aggregate over the
-    key column alone, at most MAX_HOT_KEYS rows to the driver. A key beyond the list holds
-    less than 1/MAX_HOT_KEYS of the rows."""
+    """(key, pieces) of the keys with more than ``rows_per_task`` rows, or, in a very large table,
+    with more than 1/MAX_HOT_KEYS of the rows: so every such key is on the list, and at most
+    MAX_HOT_KEYS rows go to the driver. One count and one aggregate over the key column alone."""
+    rows_per_task = max(rows_per_task, df.count() // MAX_HOT_KEYS)
     heavy = (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > rows_per_task)
-        .orderBy(F.col("n").desc())
-        .limit(MAX_HOT_KEYS)
     )
     return [(r[key], -(-r["n"] // rows_per_task)) for r in heavy.collect()]
 

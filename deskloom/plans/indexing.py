@@ -17,11 +17,12 @@ def case_index(
     brand: str,
     policy: Policy,
     spec: TfidfSpec,
-    held_out: DataFrame | None = None,
+    held_out: DataFrame | None,
     held_out_text: str = "customer_text",
 ) -> tuple[DataFrame, TfidfIndex]:
-    """(cases, index). Texts that are going to be used as evaluation queries are kept out of
-    the index when given as ``held_out``. The cases are written once, with their signals."""
+    """(cases, index). ``held_out`` has the texts that are going to be used as evaluation queries:
+    they are kept out of the index. It has no default, so that an index without this guard is
+    asked for in so many words, by None. The cases are written once, with their signals."""
     cases = build_cases(messages, brand, policy)
     if held_out is not None:
         cases = without_leaks(cases, held_out, "customer_text", held_out_text)

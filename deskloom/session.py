@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,12 +46,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_own = threading.local()  # scopes of this thread: a stream's batches run in one of their own
+
+
+def _scopes() -> list[list[str]]:
+    if not hasattr(_own, "scopes"):
+        _own.scopes = []
+    return _own.scopes
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``cut_lineage`` writes within it are deleted at its end. Write the result that
+    depends on them before."""
+    _scopes().append([])
+    try:
+        yield
+    finally:
+        jvm = spark._jvm
+        for path in _scopes().pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
 
     Unlike ``DataFrame.checkpoint`` the plan runs once, the result is columnar, and its size
-    is known to later joins. It outlives any executor; the folder's owner clears it.
+    is known to later joins. It outlives any executor; a ``scratch_scope`` or the folder's owner
+    clears it.
     """
     path = f"{checkpoint_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _scopes():
+        _scopes()[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

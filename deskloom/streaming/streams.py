@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from deskloom.functions.policy import Policy
 from deskloom.operators.tfidf import TfidfIndex
 from deskloom.plans.triage import triage
+from deskloom.session import scratch_scope
 
 
 def arriving_files(
@@ -63,8 +64,9 @@ def start_triage(
     overwrites its own folder, so a retried batch leaves one copy."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        results = triage(batch, index, cases, policy)
-        results.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        with scratch_scope(batch.sparkSession):
+            results = triage(batch, index, cases, policy)
+            results.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         if after is not None:
             after(batch.sparkSession.read.parquet(f"{path}/batch={batch_id}"), batch_id)
 

@@ -94,3 +94,17 @@ def test_clusters(spark):
     assert "bill" in terms
     near = learning.cluster_distance(out, model)
     assert near.agg(F.sum("distance")).first()[0] == pytest.approx(model.summary.trainingCost, rel=1e-6)
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    import os
+
+    from deskloom.session import cut_lineage, scratch_scope
+
+    outside = cut_lineage(spark.range(3))
+    with scratch_scope(spark):
+        inside = cut_lineage(spark.range(5))
+        assert inside.count() == 5
+        [path] = {os.path.dirname(f.removeprefix("file://")) for f in inside.inputFiles()}
+        assert os.path.exists(path)
+    assert not os.path.exists(path) and outside.count() == 3
