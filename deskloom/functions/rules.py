@@ -215,19 +215,31 @@ def rule_set_from_table(
     """Build a rule set from ``(rule_set, priority, label, group_no, phrase)`` rows.
 
     ``group_no`` null: any phrase of the priority decides; otherwise one phrase per group is
-    needed. The table is a parameter, not data: more than MAX_RULE_ROWS rows are refused.
+    needed. With a column ``max_words``, a phrase where it is set decides if it is the whole text
+    and the text has at most so many words. The table is a parameter, not data: more than MAX_RULE_ROWS rows are refused.
     """
-    picked = rows.filter(F.col("rule_set") == name).select("priority", "label", "group_no", "phrase")
+    most = F.col("max_words") if "max_words" in rows.columns else F.lit(None).cast("int")
+    picked = rows.filter(F.col("rule_set") == name).select(
+        "priority", "label", "group_no", "phrase", most.alias("max_words")
+    )
     found = picked.limit(MAX_RULE_ROWS + 1).collect()
     if len(found) > MAX_RULE_ROWS:
         raise ValueError(f"rule set {name!r} has more than {MAX_RULE_ROWS} rows")
     if not found:
         raise ValueError(f"rule set {name!r} is empty")
     by_rule: dict[tuple[int, str], dict[int | None, list[str]]] = {}
+    whole: dict[tuple[int, str], list[tuple[int, str]]] = {}
     for r in found:
+        if r.max_words is not None:
+            by_rule.setdefault((r.priority, r.label), {})
+            whole.setdefault((r.priority, r.label), []).append((r.max_words, r.phrase))
+            continue
         by_rule.setdefault((r.priority, r.label), {}).setdefault(r.group_no, []).append(r.phrase)
     rules = []
-    for (_, label), groups in sorted(by_rule.items()):
+    for (priority, label), groups in sorted(by_rule.items()):
+        exact = whole.get((priority, label), [])
+        for words in sorted({w for w, _ in exact}):
+            rules.append(Rule(label, exact=sorted(p for w, p in exact if w == words), max_words=words))
         plain = groups.pop(None, [])
         if plain:
             rules.append(Rule(label, any_of=sorted(plain)))

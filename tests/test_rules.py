@@ -125,3 +125,13 @@ def test_scores_from_a_table(spark):
 def test_unreachable_phrases():
     rules = RuleSet("r", (Rule("A", any_of=["can't", "ok"]),), "Z", profile="index")
     assert unreachable_phrases(rules) == [("A", "can't")]
+
+
+def test_whole_texts_from_a_table(spark):
+    rows = spark.createDataFrame(
+        [("r", 1, "vague", None, "yes", 2), ("r", 1, "vague", None, "thank you", 2), ("r", 2, "pay", None, "bill", None)],
+        "rule_set string, priority int, label string, group_no int, phrase string, max_words int",
+    )
+    rules = rule_set_from_table(rows, "r", "other")
+    texts = spark.createDataFrame([("yes",), ("Thank  you",), ("yes my bill",), ("no",)], "t string")
+    assert [r.i for r in classify(texts, rules, "t", "i").collect()] == ["vague", "vague", "pay", "other"]
