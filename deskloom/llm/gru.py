@@ -19,6 +19,8 @@ HIDDEN = 12
 GRAMS = (3, 4, 5)
 GRAM_BUCKETS = 1 << 16
 PAD_GATE = -30.0
+#: Distinct words whose gates are held together.
+MOST_WORDS = 1 << 16
 RATE, TABLE_RATE = 0.01, 0.5
 LEAST_DOCUMENTS = 2
 REVIEWS = 3
@@ -415,11 +417,18 @@ def score_windows(
     model: Model, tokens: Tokens, starts: np.ndarray, ends: np.ndarray, size: int, batch: int = 2048
 ) -> np.ndarray:
     """Logits of the windows from ``starts`` to ``ends`` (token numbers, at most ``size`` apart)."""
-    inputs = model.all_word_inputs(tokens)
-    gates = model.gates(inputs)
     out = np.zeros(len(starts), np.float32)
+    at_once = len(tokens.hashes) <= MOST_WORDS
+    gates = model.gates(model.all_word_inputs(tokens)) if at_once else None
     for at in range(0, len(starts), batch):
         part = slice(at, at + batch)
         ids = window_ids(tokens, starts[part], ends[part], size)
-        out[part], _ = model.forward(gates, ids)
+        if at_once:
+            out[part], _ = model.forward(gates, ids)
+            continue
+        # of very many distinct words, only those of the batch
+        used, own = np.unique(ids, return_inverse=True)
+        words = used[used < len(tokens.hashes)]
+        few = Tokens(tokens.hashes[words], tokens.chars, tokens.start[words], tokens.size[words], own, tokens.upto)
+        out[part], _ = model.forward(model.gates(model.all_word_inputs(few)), own.reshape(ids.shape))
     return out

@@ -31,7 +31,7 @@ STEPS = 240
 BATCH = 256
 SEED = 7
 TOXIC_ROWS = 1000
-CLEAN_ROWS = 2000
+CLEAN_ROWS = 1500
 REJECT = 0.3
 #: Texts that are scored together.
 CHUNK_CHARS = 1 << 19
