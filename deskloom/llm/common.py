@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+ARROW_ROWS = 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,15 +32,21 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 
 @contextmanager
 def shuffles_released(spark: SparkSession) -> Iterator[None]:
-    """Within it, the shuffle files of a finished action go at once. For operators that write
-    their intermediate tables, so that nothing later reads an earlier action's shuffle."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
+    """Within it, the shuffle files of a finished action go at once, and Arrow batches are small
+    enough for rows that hold whole sets. For operators that write their intermediate tables, so
+    that nothing later reads an earlier action's shuffle."""
+    wanted = {
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(ARROW_ROWS),
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def gapless_rank(

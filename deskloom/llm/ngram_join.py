@@ -57,7 +57,7 @@ FIRST_COLUMNS = 32
 PART_ROWS = 1 << 17
 HOT_SETS = 10_000
 ID_BITS = 1 << 24
-FLUSH_ROWS = 1 << 20
+FLUSH_ROWS = 1 << 18
 
 
 def block_size(n: int, num: int, den: int) -> int:
