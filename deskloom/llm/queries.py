@@ -172,6 +172,34 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op5_ngram_jaccard"] = """
+WITH RECURSIVE worded AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+), grams AS (
+    SELECT doc_id, unnest(list_distinct(CASE
+        WHEN len(words) = 0 THEN []::VARCHAR[]
+        WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END)) AS gram
+    FROM worded
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS same
+    FROM grams x JOIN grams y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * same >= 75 * (x.n + y.n - same)
+), edges AS (SELECT a AS u, b AS v FROM links UNION ALL SELECT b, a FROM links
+), reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION SELECT e.v, r.other FROM reached r JOIN edges e ON e.u = r.doc_id
+)
+SELECT r.doc_id, coalesce(max(s.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id"""
+
+
 @query
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(table(spark, sf_dir, "documents"))
