@@ -414,7 +414,7 @@ def train(texts: list[str], labels: np.ndarray, size: int, stride: int, steps: i
 
 
 def score_windows(
-    model: Model, tokens: Tokens, starts: np.ndarray, ends: np.ndarray, size: int, batch: int = 2048
+    model: Model, tokens: Tokens, starts: np.ndarray, ends: np.ndarray, size: int, batch: int = 1024
 ) -> np.ndarray:
     """Logits of the windows from ``starts`` to ``ends`` (token numbers, at most ``size`` apart)."""
     out = np.zeros(len(starts), np.float32)

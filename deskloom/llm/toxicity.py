@@ -34,7 +34,8 @@ TOXIC_ROWS = 1000
 CLEAN_ROWS = 1500
 REJECT = 0.3
 #: Texts that are scored together.
-CHUNK_CHARS = 1 << 19
+CHUNK_CHARS = 1 << 18
+ROWS = 256
 
 
 @dataclass
@@ -45,6 +46,11 @@ class Scorer:
     def scores(self, texts: list[str]) -> np.ndarray:
         return 1 / (1 + np.exp(-(features(self.model, texts) @ self.unit)))
 
+    def column_scores(self, texts: pa.Array) -> np.ndarray:
+        """Scores of an Arrow column, of which few rows are Python strings at a time."""
+        pieces = (texts.slice(i, ROWS).to_pylist() for i in range(0, len(texts), ROWS))
+        return np.concatenate([np.zeros(0), *(self.scores([t or "" for t in piece]) for piece in pieces)])
+
 
 def features(model: Model, texts: list[str]) -> np.ndarray:
     """Per text: highest and second highest window logit, mean window probability, the logarithm of
@@ -118,7 +124,7 @@ def score_documents(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = shared.value.scores([t or "" for t in batch.column(1).to_pylist()])
+            scores = shared.value.column_scores(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, score double")
@@ -130,7 +136,7 @@ def drop_toxic(docs: DataFrame, scorer: Scorer, text_col: str = "text", reject:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = shared.value.scores([t or "" for t in batch.column(text_col).to_pylist()])
+            scores = shared.value.column_scores(batch.column(text_col))
             yield batch.filter(pa.array(scores < reject))
 
     return docs.mapInArrow(run, docs.schema)
