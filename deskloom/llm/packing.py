@@ -228,7 +228,8 @@ def token_pieces(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
-        for batch in batches:
+        small = (batch.slice(i, 256) for batch in batches for i in range(0, batch.num_rows, 256))
+        for batch in small:
             rows: list[tuple[int, int, int, int, int]] = []
             for row, text in enumerate(batch.column(1).to_pylist()):
                 ids = np.append(encoder.ids(text or ""), np.uint32(separator)).astype("<u4")
