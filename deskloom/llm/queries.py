@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 from deskloom.llm.common import table
 from deskloom.llm.ctph import neighbour_fingerprints
 from deskloom.llm.exact_dedup import exact_duplicates
+from deskloom.llm.hard_negatives import hard_negatives
 from deskloom.llm.mixing import DomainModel, document_rates, fit_domains
+from deskloom.llm.mtree import top_k
 from deskloom.llm.ngram_join import ngram_components
 from deskloom.llm.packing import pack_documents
 from deskloom.llm.pii import BASE, find_personal_data
 from deskloom.llm.preference import CLOSE, conversations, preference_pairs
 from deskloom.llm.sharding import shard_documents
 from deskloom.llm.toxicity import REJECT, Scorer, fit, score_documents
+from deskloom.llm.turn_repair import repair_conversations
 from deskloom.llm.url_filter import judge_urls
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -257,3 +260,83 @@ def domain_model(spark: SparkSession, sf_dir: str) -> DomainModel:
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_rates(table(spark, sf_dir, "documents"), domain_model(spark, sf_dir), MIX)
+
+
+def asked() -> F.Column:
+    """The rows that searches and minings start from."""
+    return F.col("vec_id") % 100 == 0
+
+
+@query
+def op11_mtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), asked(), k=10, scale=1024)
+
+
+# SQL for the rows of embeddings that take part, with integer components
+WHOLE_VECTORS = """
+whole AS (
+    SELECT DISTINCT vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS vec
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)"""
+
+ORACLES["op11_mtree_search"] = f"""
+WITH {WHOLE_VECTORS.format(scale=1024).strip()}, scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.vec, c.vec)::BIGINT AS score
+    FROM whole q JOIN whole c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score
+FROM scored WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER best <= 10"""
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), asked(), scale=256)
+
+
+ORACLES["op12_hard_negatives"] = f"""
+WITH {WHOLE_VECTORS.format(scale=256).strip()}, marked AS (
+    SELECT vec_id, vec, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+    FROM whole WHERE label IS NOT NULL
+), scored AS (
+    SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same, list_dot_product(q.vec, c.vec)::BIGINT AS score
+    FROM marked q JOIN marked c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), fitting AS (
+    SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+        row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS place
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, place::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM fitting WHERE place <= 10"""
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with planted faults, chosen by a checksum of conversation and turn number: a
+    dropped turn (``present`` is false), an empty text, a text without closing marks, a repeated
+    turn (``again``), a turn given to the user. Nulls are read as one space."""
+    conv, turn, role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text"))
+    fault = F.crc32(F.concat(conv, F.lit(":"), turn).cast("binary")) % 20
+    spoilt = F.when(fault == 1, F.lit("")).when(fault == 2, F.translate(text, ".!?", "")).otherwise(text)
+    copies = F.when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(fault == 0, F.lit("")).otherwise(spoilt).alias("text"),
+        (fault != 0).alias("present"),
+        F.explode(copies).alias("again"),
+    )
+
+
+@query
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = damaged(table(spark, sf_dir, "conversations"))
+    repaired = repair_conversations(turns, again_col="again", present_col="present")
+    said = F.array_join(F.transform("repaired", lambda t: F.concat_ws(":", t["role"], t["text"])), "\n")
+    return repaired.withColumn("repaired_sha256", F.sha2(said, 256)).drop("repaired")
