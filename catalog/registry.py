@@ -14,7 +14,7 @@ from deskloom.functions import text as tx
 from deskloom.functions.index_rules import INDEX_RULES
 from deskloom.functions.rules import classify, classify_by_score, consistent, with_response_type, with_signals
 from deskloom.operators import evidence as ev
-from deskloom.operators import learning, metrics, profile, retrieval, review, sampling, skew, threads, tfidf
+from deskloom.operators import leakage, learning, metrics, profile, retrieval, review, sampling, skew, threads, tfidf
 from deskloom.plans import evaluation, indexing, triage as tri
 from deskloom.session import checkpoint_dir, configure, cut_lineage
 from deskloom.sources import index_store, parsing, sinks
@@ -485,6 +485,26 @@ def leakage_guard(spark, sf):
     return retrieval.without_leaks(corpus, items, "line", "line").select("doc_id", "line")
 
 
+CONTAINED = f"""with q as (select item_id, {sql.clean('text', 'index')} as q from benchmark),
+d as (select doc_id, text, {sql.clean('text', 'index')} as t from documents),
+held as (select * from q join d on q <> '' and (t = q or len(string_split(q, ' ')) >= 5 and contains(' ' || t || ' ', ' ' || q || ' ')))"""
+
+
+@query("leakage_contained", CONTAINED + " select item_id, count(*)::bigint as copies, min(doc_id) as first_doc from held group by item_id")
+def leakage_contained(spark, sf):
+    """Benchmark items whose words occur, one after another, inside documents."""
+    report = leakage.containment_report(
+        table(spark, sf, "benchmark"), documents(spark, sf), "item_id", "text", "doc_id", "text"
+    )
+    return report.select("item_id", "copies", F.col("first_case").alias("first_doc"))
+
+
+@query("leakage_guard_contained", CONTAINED + " select doc_id, text from documents where doc_id not in (select doc_id from held)")
+def leakage_guard_contained(spark, sf):
+    """Documents that hold no benchmark item."""
+    return leakage.without_contained(documents(spark, sf), table(spark, sf, "benchmark"), "text", "text")
+
+
 # === evidence, decision, reply ==========================================================================
 
 
