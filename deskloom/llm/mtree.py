@@ -85,6 +85,7 @@ def _bodies(points: np.ndarray, keys: list[bytes], ids: np.ndarray, top: int) ->
     Top-down bulk load: seeds, spread by farthest-first choice, split the objects of a page that
     overflows. The objects are distinct, so each seed keeps itself and the split always advances.
     """
+    points = np.asarray(points, np.float64)
     lifts = _lifts(points, top)
     bodies: list[bytes] = []
     # place of the page, its objects, its routing object
