@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from deskloom.functions import text as tx
 from deskloom.operators.skew import lookup_join, rank_within, top_within
-from deskloom.operators.tfidf import TfidfSpec, build_vocab, exploded, part_sizes, term_counts, term_table
+from deskloom.operators.tfidf import TfidfSpec, build_vocab, count_terms, exploded, part_sizes, term_table, words_table
 from deskloom.session import checkpoint_dir, cut_lineage
 
 ONE = "all"
@@ -41,7 +41,7 @@ def sparse_features(
     spark = docs.sparkSession
     train = fitted_on.withColumn("__part", F.lit(ONE))
     parts = cut_lineage(train.groupBy(F.col("__part").alias("part")).agg(F.count(F.lit(1)).alias("docs")))
-    vocab = build_vocab(term_counts(train, spec, id_col, text_col, "__part"), parts, spec)
+    vocab = build_vocab(count_terms(words_table(train, spec, id_col, text_col, "__part"), spec), parts, spec)
     vocab = cut_lineage(term_positions(vocab))
     width = vocab.count()
     tf = (F.lit(1.0) + F.log(F.col("tf"))) if spec.sublinear else F.col("tf").cast("double")

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from deskloom.functions import lexicon as lex
 from deskloom.functions import text as tx
+from deskloom.operators.blocks import best_vectors
 from deskloom.operators.skew import ROWS_PER_TASK, lookup_join, top_within
 from deskloom.operators.tfidf import TfidfIndex, vectorize_queries
 from deskloom.session import cut_lineage
 
-# Joining every shared term is fine up to this many (query, vector, term) rows per query
-# batch; the count is known exactly from the vocabulary before the join runs.
-PAIR_BUDGET = 200_000_000
-TAIL_NORM = 0.30
+# Joining every shared term pays for small work only: beyond this many (query, vector, term) rows,
+# counted exactly from the vocabulary before anything runs, the shards of the index are searched.
+PAIR_BUDGET = 2_000_000
 EPS = 2e-9
 
 
@@ -43,60 +43,13 @@ def _best(scores: DataFrame, k: int) -> DataFrame:
     return top_within(rounded, ["part", "q_key"], [F.col("score").desc(), F.col("vec_id")], k)
 
 
-def _pruned_best(entries: DataFrame, index: TfidfIndex, k: int, tail: F.Column) -> DataFrame:
-    """k best vectors among those sharing one of a query's rarer terms, with exact scores.
-
-    ``entries`` carry the column ``limit``. Per query the most frequent terms whose joint norm
-    stays within ``limit`` are left out of the candidate search: vectors have unit length, so
-    a vector found only through them scores at most that norm. Returned with ``tail_norm``.
-    """
-    heavy_first = Window.partitionBy("part", "q_key").orderBy(F.col("df").desc(), "term").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    marked = entries.withColumn("__cum", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(heavy_first)))
-    marked = marked.withColumn("is_tail", F.col("__cum") <= tail)
-    norms = marked.groupBy("part", "q_key").agg(
-        F.coalesce(F.max(F.when(F.col("is_tail"), F.col("__cum"))), F.lit(0.0)).alias("tail_norm")
-    )
-    found = _scores(marked.filter(~F.col("is_tail")), index)
-    # the k-th best partial score is a floor for the k-th best full score
-    floors = (
-        top_within(found, ["part", "q_key"], [F.col("score").desc()], k, out="__r")
-        .groupBy("part", "q_key")
-        .agg(F.min("score").alias("__kth"), F.count(F.lit(1)).alias("__n"))
-        .select("part", "q_key", F.when(F.col("__n") >= k, F.col("__kth")).otherwise(F.lit(0.0)).alias("floor"))
-    )
-    alive = (
-        found.join(floors, ["part", "q_key"])
-        .join(norms, ["part", "q_key"])
-        .filter(F.col("score") + F.col("tail_norm") >= F.col("floor") - EPS)
-        .select("part", "q_key", "vec_id", "score")
-    )
-    rest = marked.filter("is_tail").select("part", "q_key", "term", F.col("weight").alias("q_weight"))
-    added = (
-        alive.select("part", "q_key", "vec_id")
-        .join(rest, ["part", "q_key"])
-        .join(index.postings().drop("salts"), ["part", "vec_id", "term"])
-        .select("part", "q_key", "vec_id", (F.col("q_weight") * F.col("weight")).alias("score"))
-    )
-    full = alive.unionByName(added).groupBy("part", "q_key", "vec_id").agg(F.sum("score").alias("score"))
-    # queries made of frequent terms only keep a row here, with no candidate
-    return norms.join(_best(full, k), ["part", "q_key"], "left")
-
-
-def _nearest_vectors(entries: DataFrame, index: TfidfIndex, k: int) -> DataFrame:
-    """Two passes: a generous cut first, then, for queries whose k-th score does not beat
-    what the cut could have hidden, the cut that their k-th score does prove right."""
-    first = cut_lineage(_pruned_best(entries, index, k, F.lit(TAIL_NORM)))
-    kth = first.groupBy("part", "q_key").agg(
-        F.max("tail_norm").alias("tail_norm"),
-        F.when(F.count("vec_id") >= k, F.min("score")).otherwise(F.lit(0.0)).alias("kth"),
-    )
-    unsure = kth.filter((F.col("tail_norm") > 0) & (F.col("kth") <= F.col("tail_norm") + EPS))
-    again = entries.join(unsure.select("part", "q_key", "kth"), ["part", "q_key"])
-    second = _pruned_best(again, index, k, F.col("kth") - 2 * EPS)
-    sure = first.join(unsure, ["part", "q_key"], "left_anti")
-    return sure.unionByName(second).filter(F.col("vec_id").isNotNull()).drop("tail_norm")
+def _nearest_vectors(distinct: DataFrame, index: TfidfIndex, k: int, postings: int, budget: int) -> DataFrame:
+    """(part, q_key, vec_id, score, copies)"""
+    if postings > budget:
+        return _best(best_vectors(distinct, index.sharded(), k), k)
+    entries = distinct.select("part", "q_key", F.inline("vec").alias("term", "weight", "df", "salts"))
+    best = _best(_scores(entries, index), k)
+    return best.join(index.vectors.select("part", "vec_id", "copies"), ["part", "vec_id"])
 
 
 def _owner_join(owners: DataFrame, lists: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -120,19 +73,21 @@ def retrieve(
 
     Only cases that share a term with the query appear. Ties go to the smaller case id.
     Queries with the same vector are answered once. The number of rows a plain join would
-    make is read off the vocabulary first; beyond ``pair_budget`` the pruned search runs,
-    which returns the same rows.
+    make is read off the vocabulary first; beyond ``pair_budget`` the shards of the index are
+    searched, which returns the same rows.
     """
-    entries, owners, postings = vectorize_queries(queries, index, id_col, text_col, part_col)
-    if postings <= pair_budget:
-        best = _best(_scores(entries, index), k)
-    else:
-        best = _nearest_vectors(cut_lineage(entries), index, k)
-    best = cut_lineage(best)
-    # no later copy of a vector can be among the first k: each task passes on k of them at most
-    found = index.members.join(best.select("part", "vec_id").distinct(), ["part", "vec_id"], "left_semi")
+    distinct, owners, postings = vectorize_queries(queries, index, id_col, text_col, part_col)
+    best = cut_lineage(_nearest_vectors(distinct, index, k, postings, pair_budget))
+    # a vector without copies is its own case; of a vector with copies no later one can be among the
+    # first k: each task passes on k of them at most
+    copied = best.filter("copies > 1")
+    found = index.members.join(copied.select("part", "vec_id").distinct(), ["part", "vec_id"], "left_semi")
     heads = top_within(found, ["part", "vec_id"], [F.col("case_id")], k)
-    cases = best.join(heads, ["part", "vec_id"])
+    cases = (
+        best.filter("copies = 1")
+        .withColumn("case_id", F.col("vec_id"))
+        .unionByName(copied.join(heads, ["part", "vec_id"]))
+    )
     ranked = top_within(
         cases, ["part", "q_key"], [F.col("score").desc(), F.col("case_id")], k, out="rank_no"
     )

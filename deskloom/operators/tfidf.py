@@ -7,18 +7,22 @@ copies costs one vector.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from deskloom.functions import text as tx
-from deskloom.operators.skew import top_within
+from deskloom.operators.blocks import shards_of
 from deskloom.session import cut_lineage
 
-# A vocabulary has at most max_features terms per part. Up to this many rows (some 150 MB as
-# a hash table) it is broadcast; beyond, the joins shuffle and AQE splits frequent terms.
+# A vocabulary has at most max_features terms per part. Up to this many rows (some 100 MB) it is
+# broadcast; beyond, the joins shuffle and AQE splits frequent terms.
 BROADCAST_TERMS = 2_000_000
 MAX_PARTS = 10_000
 
@@ -44,11 +48,11 @@ class TfidfSpec:
 
 @dataclass(frozen=True)
 class TfidfIndex:
-    """vocab(part, term, df, idf, salts) · vectors(part, vec_id, vec of (term, weight, df, salts)) · members(part, vec_id,
-    case_id) · parts(part, docs).
+    """vocab(part, term, df, idf, salts) · vectors(part, vec_id, vec of (term, weight, df, salts), copies) ·
+    members(part, vec_id, case_id) · parts(part, docs).
 
-    ``vec_id`` is the smallest case id with that vector; ``members`` holds every case that has
-    a vector. All tables are written when the index is built.
+    ``vec_id`` is the smallest case id with that vector and ``copies`` the number of its cases;
+    ``members`` holds every case that has a vector. All tables are written when the index is built.
     """
 
     spec: TfidfSpec
@@ -57,11 +61,16 @@ class TfidfIndex:
     members: DataFrame
     parts: DataFrame
     vocab_bound: int  # proven upper bound of the vocabulary's rows
+    shards: DataFrame | None = None  # as ``blocks.shards_of`` makes them, if they are kept
 
     @property
     def small_vocab(self) -> bool:
         return self.vocab_bound <= BROADCAST_TERMS
 
+    def sharded(self) -> DataFrame:
+        """The shards that searches read: those kept with the index, else made and written now."""
+        return self.shards if self.shards is not None else cut_lineage(shards_of(self.vectors))
+
     def postings(self) -> DataFrame:
         """(part, vec_id, term, weight, salts), one row per entry of a vector."""
         return self.vectors.select(
@@ -69,19 +78,28 @@ class TfidfIndex:
         ).drop("df")
 
 
+def words_table(docs: DataFrame, spec: TfidfSpec, id_col: str, text_col: str, part_col: str) -> DataFrame:
+    """(part, doc_id, words), one row per document, the words in the order of the text."""
+    narrowed = docs.select(F.col(part_col).alias("part"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"))
+    words = tx.drop_stop_words(tx.tokens(tx.clean(F.col("__text"), spec.profile)), list(spec.stop_words))
+    return narrowed.select("part", "doc_id", words.alias("words"))
+
+
 def term_table(docs: DataFrame, spec: TfidfSpec, id_col: str, text_col: str, part_col: str) -> DataFrame:
-    """(part, doc_id, terms), one row per document, terms as an array of (term, tf) in term order.
+    """(part, doc_id, terms), one row per document, terms as an array of (term, tf) in term order."""
+    return counted(words_table(docs, spec, id_col, text_col, part_col), spec)
+
+
+def counted(words: DataFrame, spec: TfidfSpec) -> DataFrame:
+    """A term table from the words.
 
     The counts are made inside the row in linear time from the sorted terms: a term starts where
     its value differs from the one before, and its count is the distance to the next start. So no
     text and no single occurrence is shuffled. The sorted terms are written first: the optimizer
     would inline the tokenising into the lambdas below and evaluate it once per element.
     """
-    narrowed = docs.select(F.col(part_col).alias("part"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"))
-    words = tx.drop_stop_words(tx.tokens(tx.clean(F.col("__text"), spec.profile)), list(spec.stop_words))
-    found = narrowed.select("part", "doc_id", words.alias("__words"))
     found = cut_lineage(
-        found.select("part", "doc_id", F.array_sort(tx.ngrams(F.col("__words"), spec.n_max)).alias("__all"))
+        words.select("part", "doc_id", F.array_sort(tx.ngrams(F.col("words"), spec.n_max)).alias("__all"))
     ).filter(F.size("__all") > 0)
     size = F.size("__all")
     places = F.filter(
@@ -106,17 +124,94 @@ def exploded(found: DataFrame) -> DataFrame:
     return found.select("part", "doc_id", F.inline("terms").alias("term", "tf"))
 
 
-def build_vocab(counts: DataFrame, parts: DataFrame, spec: TfidfSpec) -> DataFrame:
-    """Terms that pass the frequency limits, at most ``max_features`` per part by total count."""
-    totals = counts.groupBy("part", "term").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")
-    ).filter(F.col("df") >= spec.min_df)
-    sized = totals.join(F.broadcast(parts), "part")  # at most MAX_PARTS rows
+def _occurrences(words: pa.ListArray, n_max: int) -> tuple[np.ndarray, pa.Array]:
+    """The document number and the term of every word and, for ``n_max`` 2, every bigram."""
+    flat = words.flatten()
+    doc = np.repeat(np.arange(len(words)), np.asarray(words.value_lengths().fill_null(0)))
+    if n_max == 1 or len(flat) < 2:
+        return doc, flat
+    inside = doc[:-1] == doc[1:]
+    mask = pa.array(inside)
+    pairs = pc.binary_join_element_wise(flat[:-1].filter(mask), flat[1:].filter(mask), " ")
+    return np.concatenate([doc, doc[:-1][inside]]), pa.concat_arrays([flat, pairs])
+
+
+def _by_part(batch: pa.RecordBatch) -> Iterator[tuple[object, pa.RecordBatch]]:
+    """The rows of each part; rows without a part belong to none."""
+    codes = batch.column("part").dictionary_encode()
+    for code, part in enumerate(codes.dictionary.to_pylist()):
+        yield part, batch.filter(pc.equal(codes.indices, code))
+
+
+def count_terms(words: DataFrame, spec: TfidfSpec) -> DataFrame:
+    """(part, term, df, total): documents with the term and its occurrences. Every batch is counted
+    where it was read, so the shuffle gets a row per term and batch."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, rows in _by_part(batch):
+                doc, terms = _occurrences(rows.column("words"), spec.n_max)
+                coded = terms.dictionary_encode()
+                code = np.asarray(coded.indices, dtype=np.int64)
+                n = len(coded.dictionary)
+                once = np.unique(doc * n + code) % max(n, 1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([part] * n, batch.column("part").type),
+                        coded.dictionary,
+                        pa.array(np.bincount(once, minlength=n).astype(np.int64)),
+                        pa.array(np.bincount(code, minlength=n).astype(np.int64)),
+                    ],
+                    ["part", "term", "df", "total"],
+                )
+
+    kind = words.schema["part"].dataType.simpleString()
+    partial = words.select("part", "words").mapInArrow(count, f"part {kind}, term string, df bigint, total bigint")
+    return partial.groupBy("part", "term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+
+
+def most_frequent(terms: DataFrame, cap: int, lead: int = 3) -> DataFrame:
+    """The ``cap`` terms of each part with the highest ``total``, ties to the smaller term, without
+    ranking a vocabulary.
+
+    A histogram of the totals says where the cap falls. Terms above that level are in; of those on
+    it, a histogram of their first ``lead`` characters says which are in, and only the terms of the
+    one group that the cap cuts are put in order.
+    """
+    sizes = terms.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    if not sizes.filter(F.col("n") > cap).limit(1).count():
+        return terms
+
+    def edge(df: DataFrame, level: str, order: Column, room: Column) -> DataFrame:
+        """(part, level, room): the first level at which more than ``room`` rows have come, and what
+        is left for it."""
+        counts = df.groupBy("part", level).agg(F.count(F.lit(1)).alias("n"), F.first(room).alias("most"))
+        upto = F.sum("n").over(Window.partitionBy("part").orderBy(order)).alias("upto")
+        running = counts.select("part", level, "n", "most", upto)
+        cut = running.filter((F.col("upto") > F.col("most")) & (F.col("upto") - F.col("n") <= F.col("most")))
+        return cut.select("part", F.col(level).alias(f"{level}_edge"), (F.col("most") - F.col("upto") + F.col("n")).alias("room"))
+
+    # one row per part that has more terms than the cap
+    edges = edge(terms, "total", F.col("total").desc(), F.lit(cap))
+    marked = terms.join(F.broadcast(edges), "part", "left")
+    above = marked.filter(F.col("total_edge").isNull() | (F.col("total") > F.col("total_edge"))).select(*terms.columns)
+    level = marked.filter(F.col("total") == F.col("total_edge")).withColumn("start", F.substring("term", 1, lead))
+    starts = edge(level, "start", F.col("start"), F.col("room")).withColumnRenamed("room", "left")
+    tied = level.join(F.broadcast(starts), "part", "left")
+    before = tied.filter(F.col("start_edge").isNull() | (F.col("start") < F.col("start_edge"))).select(*terms.columns)
+    group = tied.filter(F.col("start") == F.col("start_edge"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("term"))
+    last = group.withColumn("place", place).filter(F.col("place") <= F.col("left")).select(*terms.columns)
+    return above.unionByName(before).unionByName(last)
+
+
+def build_vocab(totals: DataFrame, parts: DataFrame, spec: TfidfSpec) -> DataFrame:
+    """Terms that pass the frequency limits, at most ``max_features`` per part by total count, from
+    (part, term, df, total)."""
+    sized = totals.filter(F.col("df") >= spec.min_df).join(F.broadcast(parts), "part")  # at most MAX_PARTS rows
     if spec.max_df < 1.0:
         sized = sized.filter(F.col("df") <= F.floor(F.lit(spec.max_df) * F.col("docs")))
-    kept = sized
-    if spec.max_features is not None:
-        kept = top_within(sized, ["part"], [F.col("total").desc(), F.col("term")], spec.max_features)
+    kept = sized if spec.max_features is None else most_frequent(cut_lineage(sized), spec.max_features)
     return kept.select(
         "part",
         "term",
@@ -126,18 +221,76 @@ def build_vocab(counts: DataFrame, parts: DataFrame, spec: TfidfSpec) -> DataFra
     )
 
 
-def weigh(found: DataFrame, vocab: DataFrame, small_vocab: bool, spec: TfidfSpec) -> DataFrame:
+VEC = "array<struct<term:string,weight:double,df:bigint,salts:int>>"
+
+
+def weigh(words: DataFrame, vocab: DataFrame, small_vocab: bool, spec: TfidfSpec) -> DataFrame:
     """(part, doc_id, vec, key): unit-length vectors as arrays of (term, weight, df, salts)
-    sorted by term, from a term table. Documents without any known term are absent.
+    sorted by term, from the words. Documents without any known term are absent.
 
-    With a vocabulary of proven size the term table is partitioned by document, one compact row
-    each, and the vocabulary is broadcast, so that the gathering moves nothing. A larger
-    vocabulary is joined by a shuffle of the terms.
+    A vocabulary of proven size goes to every task, and a document is counted, weighed and scaled
+    where its row is: nothing is exploded, shuffled or gathered. A larger vocabulary is joined by a
+    shuffle of the terms.
     """
-    if small_vocab:
-        counts = exploded(found.repartition("doc_id")).join(F.broadcast(vocab), ["part", "term"])
+    if not small_vocab:
+        return _weigh_by_join(counted(words, spec), vocab, spec)
+    known = vocab.select("part", "term", "df", "idf", "salts").toArrow().sort_by([("part", "ascending"), ("term", "ascending")])
+    sent = words.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = sent.value.combine_chunks()
+        spans = {}
+        if held.num_rows:
+            coded = held["part"].chunk(0).dictionary_encode()
+            edges = np.searchsorted(np.asarray(coded.indices), np.arange(len(coded.dictionary) + 1))
+            spans = {part: held.slice(edges[i], edges[i + 1] - edges[i]) for i, part in enumerate(coded.dictionary.to_pylist())}
+        for batch in batches:
+            for part, rows in _by_part(batch):
+                if part in spans:
+                    yield _weighed(part, rows, spans[part], spec)
+
+    part_kind, id_kind = (words.schema[c].dataType.simpleString() for c in ("part", "doc_id"))
+    return words.mapInArrow(run, f"part {part_kind}, doc_id {id_kind}, vec {VEC}, key string")
+
+
+def _weighed(part: object, rows: pa.RecordBatch, vocab: pa.Table, spec: TfidfSpec) -> pa.RecordBatch:
+    doc, terms = _occurrences(rows.column("words"), spec.n_max)
+    places = pc.index_in(terms, value_set=vocab["term"].chunk(0) if vocab.num_rows else pa.array([], pa.string()))
+    there = np.asarray(places.is_valid())
+    place = np.asarray(places.drop_null(), dtype=np.int64)
+    size = max(vocab.num_rows, 1)
+    pairs, tf = np.unique(doc[there] * size + place, return_counts=True)
+    doc, place = pairs // size, pairs % size
+    raw = (1.0 + np.log(tf) if spec.sublinear else tf.astype(float)) * np.asarray(vocab["idf"])[place]
+    owners, starts = np.unique(doc, return_index=True)
+    ends = np.append(starts, len(doc))
+    if len(owners):
+        norms = np.sqrt(np.add.reduceat(raw * raw, starts))
+        weights = raw / np.repeat(norms, np.diff(ends))
     else:
-        counts = exploded(found).join(vocab, ["part", "term"])
+        weights = raw
+    # a 128-bit identity of the vector within its part, from terms and unscaled weights
+    keys = [
+        hashlib.md5(place[a:b].tobytes() + raw[a:b].tobytes()).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())
+    ]
+    picked = vocab.take(pa.array(place))
+    entries = pa.StructArray.from_arrays(
+        [picked[c].combine_chunks() if c != "weight" else pa.array(weights) for c in ("term", "weight", "df", "salts")],
+        ["term", "weight", "df", "salts"],
+    )
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([part] * len(owners), rows.column("part").type),
+            rows.column("doc_id").take(pa.array(owners)),
+            pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), entries),
+            pa.array(keys, pa.string()),
+        ],
+        ["part", "doc_id", "vec", "key"],
+    )
+
+
+def _weigh_by_join(found: DataFrame, vocab: DataFrame, spec: TfidfSpec) -> DataFrame:
+    counts = exploded(found).join(vocab, ["part", "term"])
     tf = (F.lit(1.0) + F.log(F.col("tf"))) if spec.sublinear else F.col("tf").cast("double")
     # the norm is an aggregate: computed inside the row it would be inlined into the lambda
     # below and evaluated once per term
@@ -185,18 +338,22 @@ def build_index(
     """Index the cases: texts are tokenised in one pass, and every table of the index is written
     to the checkpoint folder; use ``deskloom.sources.index_store`` to keep it for other sessions."""
     parts, n_parts = part_sizes(cases, part_col)
-    found = cut_lineage(term_table(cases, spec, id_col, text_col, part_col))
-    vocab = cut_lineage(build_vocab(exploded(found), parts, spec))
+    words = cut_lineage(words_table(cases, spec, id_col, text_col, part_col))
+    vocab = cut_lineage(build_vocab(count_terms(words, spec), parts, spec))
     bound = vocab.count() if spec.max_features is None else spec.max_features * n_parts
-    weighed = cut_lineage(weigh(found, vocab, bound <= BROADCAST_TERMS, spec))
-    vectors = cut_lineage(weighed.groupBy("part", "key").agg(F.min("doc_id").alias("vec_id"), F.first("vec").alias("vec")))
+    weighed = cut_lineage(weigh(words, vocab, bound <= BROADCAST_TERMS, spec))
+    vectors = cut_lineage(
+        weighed.groupBy("part", "key").agg(
+            F.min("doc_id").alias("vec_id"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("copies")
+        )
+    )
     members = weighed.select("part", "key", F.col("doc_id").alias("case_id")).join(
         vectors.select("part", "key", "vec_id"), ["part", "key"]
     )
     return TfidfIndex(
         spec=spec,
         vocab=vocab,
-        vectors=vectors.select("part", "vec_id", "vec"),
+        vectors=vectors.select("part", "vec_id", "vec", "copies"),
         members=cut_lineage(members.select("part", "vec_id", "case_id")),
         parts=parts,
         vocab_bound=bound,
@@ -208,25 +365,21 @@ def vectorize_queries(
 ) -> tuple[DataFrame, DataFrame, int]:
     """Queries in the index's space.
 
-    Returns ``(entries, owners, postings)``: entries(part, q_key, term, weight, df, salts) once
-    per distinct query vector, owners(query_id, part, q_key) to bring results back to queries,
-    and an upper bound of the (query vector, case, term) rows a plain join would make.
+    Returns ``(distinct, owners, postings)``: distinct(part, q_key, vec) once per distinct query
+    vector, owners(query_id, part, q_key) to bring results back to queries, and an upper bound of
+    the (query vector, case, term) rows a plain join would make.
     """
-    found = term_table(queries, index.spec, id_col, text_col, part_col)
-    weighed = cut_lineage(weigh(found, index.vocab, index.small_vocab, index.spec))
+    words = words_table(queries, index.spec, id_col, text_col, part_col)
+    weighed = cut_lineage(weigh(words, index.vocab, index.small_vocab, index.spec))
     owners = weighed.select(F.col("doc_id").alias("query_id"), "part", F.col("key").alias("q_key"))
-    distinct = weighed.groupBy("part", "key").agg(F.first("vec").alias("vec"))
-    entries = distinct.select(
-        "part", F.col("key").alias("q_key"), F.inline("vec").alias("term", "weight", "df", "salts")
-    )
+    distinct = weighed.groupBy("part", F.col("key").alias("q_key")).agg(F.first("vec").alias("vec"))
     per_query = F.aggregate("vec", F.lit(0).cast("long"), lambda acc, x: acc + x["df"])
     postings = weighed.agg(F.sum(per_query)).first()[0] or 0
-    return entries, owners, postings
+    return distinct, owners, postings
 
 
 def document_frequency(docs: DataFrame, spec: TfidfSpec, id_col: str, text_col: str, part_col: str) -> DataFrame:
     """(part, docs, term, df) before any frequency limit."""
     parts, _ = part_sizes(docs, part_col)
-    counts = term_counts(docs, spec, id_col, text_col, part_col)
-    frequency = counts.groupBy("part", "term").agg(F.count(F.lit(1)).alias("df"))
-    return frequency.join(F.broadcast(parts), "part")
+    totals = count_terms(words_table(docs, spec, id_col, text_col, part_col), spec)
+    return totals.select("part", "term", "df").join(F.broadcast(parts), "part")

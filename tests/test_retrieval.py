@@ -1,11 +1,14 @@
+import dataclasses
 import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from deskloom.operators import retrieval, tfidf
+from deskloom.operators import blocks, retrieval, tfidf
 from deskloom.sources import index_store
 
 WORDS = ["the"] * 12 + ["net"] * 8 + ["slow"] * 4 + [f"w{i}" for i in range(25)]
@@ -65,11 +68,61 @@ def test_topk_is_exact(built, k, budget):
     assert {(r.query_id, r.rank_no): (r.case_id, round(r.similarity, 6)) for r in rows} == brute(cases, queries, k)
 
 
-def test_pruned_search_needs_its_second_pass(built, monkeypatch):
+@pytest.mark.parametrize("per_shard, per_task", [(7, 1024), (30, 5), (1000, 3)])
+def test_shards_and_shares_of_any_size(spark, built, monkeypatch, per_shard, per_task):
     cases, queries, _, asked, index = built
-    monkeypatch.setattr(retrieval, "TAIL_NORM", 0.9)
-    rows = retrieval.retrieve(asked, index, 3, pair_budget=0).collect()
-    assert {(r.query_id, r.rank_no): (r.case_id, round(r.similarity, 6)) for r in rows} == brute(cases, queries, 3)
+    cut = dataclasses.replace(index, shards=blocks.shards_of(index.vectors, per_shard))
+    found = blocks.best_vectors
+    monkeypatch.setattr(retrieval, "best_vectors", lambda d, s, k: found(d, s, k, per_task))
+    for k in (1, 4):
+        rows = retrieval.retrieve(asked, cut, k, pair_budget=0).collect()
+        assert {(r.query_id, r.rank_no): (r.case_id, round(r.similarity, 6)) for r in rows} == brute(cases, queries, k)
+
+
+def shard_of(rows, n_terms):
+    """A shard from {place: {term: weight}}."""
+    entries = sorted((t, -w, p) for p, own in enumerate(rows) for t, w in own.items())
+    starts = np.searchsorted([t for t, *_ in entries], np.arange(n_terms + 1))
+    ids = pa.array(range(100, 100 + len(rows)))
+    terms = pa.array([f"t{i:03d}" for i in range(n_terms)])
+    return blocks.Shard(ids, ids, terms, starts, np.array([p for *_, p in entries]), np.array([-w for _, w, _ in entries]))
+
+
+@pytest.mark.parametrize("block", [1, 3, 64])
+@pytest.mark.parametrize("seed", range(4))
+def test_blocks_and_cuts_lose_nothing(monkeypatch, block, seed):
+    """With every list read in blocks, and from no, low, exact and high floors, the k best stay."""
+    monkeypatch.setattr(blocks, "BLOCK", block)
+    monkeypatch.setattr(blocks, "READ_ALL", 0)
+    rng = np.random.default_rng(seed)
+    rows = []
+    for _ in range(300):
+        own = rng.choice(40, size=rng.integers(1, 12), replace=False, p=np.arange(40, 0, -1) / 820)
+        weights = rng.choice([1.0, 2.0, 5.0], size=len(own)) if seed % 2 else rng.random(len(own)) + 0.01
+        rows.append(dict(zip(own.tolist(), (weights / np.sqrt((weights**2).sum())).tolist())))
+    shard = shard_of(rows, 40)
+    for k in (1, 3, 20, 400):
+        for _ in range(15):
+            terms = np.sort(rng.choice(40, size=rng.integers(1, 8), replace=False))
+            weights = rng.random(len(terms)) + 0.01
+            asked = dict(zip(terms.tolist(), weights.tolist()))
+            full = [(-round(sum(w * asked[t] for t, w in own.items() if t in asked), 9), p) for p, own in enumerate(rows)]
+            want = sorted(x for x in full if x[0] < 0)[:k]
+            for floor in (0.0, -want[-1][0] if len(want) == k else 0.0):
+                places, scores = shard.best(terms, weights, k, floor)
+                assert [(-round(s, 9), p) for s, p in zip(scores.tolist(), places.tolist())] == want
+            if want:
+                places, scores = shard.best(terms, weights, k, -want[0][0])
+                assert [(-round(s, 9), p) for s, p in zip(scores.tolist(), places.tolist())] == [x for x in want if x[0] == want[0][0]]
+
+
+def test_a_floor_spares_postings(monkeypatch):
+    monkeypatch.setattr(blocks, "READ_ALL", 0)
+    rng = np.random.default_rng(1)
+    rows = [{0: 0.05 + 0.1 * rng.random(), 1: 0.9 if i < 20 else 0.01, 2: 0.2 * rng.random() + 0.01} for i in range(5000)]
+    shard = shard_of(rows, 3)
+    places, _ = shard.best(np.array([0, 1, 2]), np.array([0.1, 0.9, 0.1]), 5, 0.0)
+    assert set(places.tolist()) <= set(range(20)) and shard.read < 3000
 
 
 def test_a_hot_query_vector_is_salted(built, monkeypatch):
@@ -101,6 +154,19 @@ def test_feature_cap_keeps_the_most_frequent(spark, built):
         assert tfidf.build_index(df, spec).vocab.groupBy("part").count().agg(F.max("count")).first()[0] <= cap
 
 
+@pytest.mark.parametrize("cap", [1, 7, 40, 100, 10_000])
+@pytest.mark.parametrize("lead", [1, 3])
+def test_the_cap_falls_inside_ties(spark, cap, lead):
+    rng = random.Random(cap)
+    names = ["".join(rng.choice("abé") for _ in range(rng.randint(1, 5))) for _ in range(400)]
+    rows = sorted({(p, t): (p, t, rng.choice([2, 2, 2, 3, 9])) for t in names for p in ("x", "y") if p == "x" or len(t) > 3}.values())
+    terms = spark.createDataFrame(rows, "part string, term string, total long").repartition(3)
+    want = []
+    for p in ("x", "y"):
+        want += sorted((r for r in rows if r[0] == p), key=lambda r: (-r[2], r[1].encode()))[:cap]
+    assert sorted(map(tuple, tfidf.most_frequent(terms, cap, lead).collect())) == sorted(want)
+
+
 def test_index_survives_a_roundtrip(spark, built, tmp_path):
     _, _, df, asked, index = built
     index_store.save_index(index, df, str(tmp_path / "ix"))
