@@ -31,7 +31,7 @@ from deskloom.session import cut_lineage
 
 BLOCK = 64
 VECTORS_PER_SHARD = 4_096
-POSTINGS_PER_SHARD = 1_000_000
+POSTINGS_PER_SHARD = 500_000
 QUERIES_PER_TASK = 1_024
 READ_ALL = 100_000  # a query with at most so many postings in a shard adds all of them up
 EPS = 2e-9  # scores are compared at nine decimals

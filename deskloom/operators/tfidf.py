@@ -178,31 +178,33 @@ def most_frequent(terms: DataFrame, cap: int, lead: int = 3) -> DataFrame:
     it, a histogram of their first ``lead`` characters says which are in, and only the terms of the
     one group that the cap cuts are put in order.
     """
-    sizes = terms.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    if not sizes.filter(F.col("n") > cap).limit(1).count():
-        return terms
+    spark, kind = terms.sparkSession, terms.schema["part"].dataType.simpleString()
 
     def edge(df: DataFrame, level: str, order: Column, room: Column) -> DataFrame:
         """(part, level, room): the first level at which more than ``room`` rows have come, and what
-        is left for it."""
+        is left for it. At most one row per part that has more terms than the cap."""
         counts = df.groupBy("part", level).agg(F.count(F.lit(1)).alias("n"), F.first(room).alias("most"))
         upto = F.sum("n").over(Window.partitionBy("part").orderBy(order)).alias("upto")
         running = counts.select("part", level, "n", "most", upto)
         cut = running.filter((F.col("upto") > F.col("most")) & (F.col("upto") - F.col("n") <= F.col("most")))
-        return cut.select("part", F.col(level).alias(f"{level}_edge"), (F.col("most") - F.col("upto") + F.col("n")).alias("room"))
+        found = cut.select("part", level, F.col("most") - F.col("upto") + F.col("n")).collect()
+        return spark.createDataFrame(found, f"part {kind}, {level}_edge {df.schema[level].dataType.simpleString()}, {level}_room long")
 
-    # one row per part that has more terms than the cap
     edges = edge(terms, "total", F.col("total").desc(), F.lit(cap))
-    marked = terms.join(F.broadcast(edges), "part", "left")
-    above = marked.filter(F.col("total_edge").isNull() | (F.col("total") > F.col("total_edge"))).select(*terms.columns)
-    level = marked.filter(F.col("total") == F.col("total_edge")).withColumn("start", F.substring("term", 1, lead))
-    starts = edge(level, "start", F.col("start"), F.col("room")).withColumnRenamed("room", "left")
-    tied = level.join(F.broadcast(starts), "part", "left")
-    before = tied.filter(F.col("start_edge").isNull() | (F.col("start") < F.col("start_edge"))).select(*terms.columns)
-    group = tied.filter(F.col("start") == F.col("start_edge"))
+    if edges.isEmpty():
+        return terms
+    marked = terms.join(F.broadcast(edges), "part", "left").withColumn(
+        "start", F.when(F.col("total") == F.col("total_edge"), F.substring("term", 1, lead))
+    )
+    starts = edge(marked.filter("start IS NOT NULL"), "start", F.col("start"), F.col("total_room"))
+    placed = marked.join(F.broadcast(starts), "part", "left")
+    above = F.col("total_edge").isNull() | (F.col("total") > F.col("total_edge"))
+    before = F.col("start") < F.col("start_edge")
+    sure = placed.filter(above | before)
     place = F.row_number().over(Window.partitionBy("part").orderBy("term"))
-    last = group.withColumn("place", place).filter(F.col("place") <= F.col("left")).select(*terms.columns)
-    return above.unionByName(before).unionByName(last)
+    group = placed.filter(F.col("start") == F.col("start_edge")).withColumn("place", place)
+    last = group.filter(F.col("place") <= F.col("start_room")).drop("place")
+    return sure.unionByName(last).select(*terms.columns)
 
 
 def build_vocab(totals: DataFrame, parts: DataFrame, spec: TfidfSpec) -> DataFrame:
