@@ -11,11 +11,15 @@ MAX_HOT_KEYS = 10_000
 ROWS_PER_TASK = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> list[tuple]:
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, rows: int | None = None) -> list[tuple]:
     """(key, pieces) of the keys with more than ``rows_per_task`` rows, or, in a very large table,
     with more than 1/MAX_HOT_KEYS of the rows: so every such key is on the list, and at most
-    MAX_HOT_KEYS rows go to the driver. One count and one aggregate over the key column alone."""
-    rows_per_task = max(rows_per_task, df.count() // MAX_HOT_KEYS)
+    MAX_HOT_KEYS rows go to the driver. One count, unless the caller knows ``rows``, and one
+    aggregate over the key column alone, unless the whole table fits a task."""
+    rows = df.count() if rows is None else rows
+    if rows <= rows_per_task:
+        return []
+    rows_per_task = max(rows_per_task, rows // MAX_HOT_KEYS)
     heavy = (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
@@ -32,13 +36,15 @@ def lookup_join(
     how: str = "inner",
     spread_by: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Join many rows of ``left`` to the one row of ``right`` with the same ``key``.
+    """Join many rows of ``left``, of which there are ``rows``, to the one row of ``right`` with the
+    same ``key``.
 
     The rows of a hot key are split into salted pieces by ``spread_by`` (a row's identity),
     and the one matching right row is repeated per piece. Without hot keys it is a plain join.
     """
-    hot = hot_keys(left, key, rows_per_task)
+    hot = hot_keys(left, key, rows_per_task, rows)
     if not hot:
         return left.join(right, key, how)
     kind = left.schema[key].dataType.simpleString()

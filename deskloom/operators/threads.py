@@ -119,7 +119,7 @@ def reply_chains(
     Returns ``message_id, author_id, root_id, length, customer_messages`` for chains with at
     least one customer message. A missing parent ends the chain. Path doubling needs about
     log2(longest chain) joins. Every round finishes some of the open chains unless all of
-    them lead into a cycle; those are walked with a guard.
+    them lead into a cycle; those are settled by their cycles.
     """
     base = relevant_messages(messages, brands) if relevant_only else messages
     nodes = base.select(
@@ -132,7 +132,6 @@ def reply_chains(
     linked = lookup_join(nodes, exists, "parent_id", "left", ["message_id"], rows_per_task).withColumn(
         "next_id", F.when(F.col("__found"), F.col("parent_id"))
     )
-    # next_id: ancestor reached so far and still to be expanded; last_id: last message counted
     state = cut_lineage(
         linked.select(
             "message_id",
@@ -143,11 +142,29 @@ def reply_chains(
             F.col("customer").alias("customers"),
         )
     )
-    edges = state.select("message_id", "next_id", F.col("customers").alias("customer"))
+    edges = state.select("message_id", "author_id", "next_id", F.col("customers").alias("customer"))
+    done, looping, left = _to_roots(state, rows_per_task)
+    if left:
+        looping = cut_lineage(edges.join(looping.select("message_id"), "message_id", "left_semi"))
+        done = done.unionByName(_settle_cycles(looping, left, rows_per_task))
+    return done.filter(F.col("author_id").isin(*brands) & (F.col("customers") > 0)).select(
+        "message_id",
+        "author_id",
+        F.col("last_id").alias("root_id"),
+        "length",
+        F.col("customers").alias("customer_messages"),
+    )
+
+
+def _to_roots(state: DataFrame, rows_per_task: int) -> tuple[DataFrame, DataFrame, int]:
+    """Path doubling: (rows that reached a root, rows that lead into a cycle, their number).
+
+    next_id is the ancestor reached so far and still to be expanded, last_id the last one counted.
+    """
     before = None
-    open_rows = state.filter(F.col("next_id").isNotNull()).count()
-    while open_rows and open_rows != before:
-        before = open_rows
+    left = state.filter(F.col("next_id").isNotNull()).count()
+    while left and left != before:
+        before = left
         ahead = state.select(
             F.col("message_id").alias("next_id"),
             F.col("next_id").alias("n_next"),
@@ -156,7 +173,7 @@ def reply_chains(
             F.col("customers").alias("n_customers"),
         )
         going = state.filter(F.col("next_id").isNotNull())
-        moved = lookup_join(going, ahead, "next_id", "inner", ["message_id"], rows_per_task).select(
+        moved = lookup_join(going, ahead, "next_id", "inner", ["message_id"], rows_per_task, left).select(
             "message_id",
             "author_id",
             F.col("n_next").alias("next_id"),
@@ -165,53 +182,72 @@ def reply_chains(
             (F.col("customers") + F.col("n_customers")).alias("customers"),
         )
         state = cut_lineage(state.filter(F.col("next_id").isNull()).unionByName(moved))
-        open_rows = state.filter(F.col("next_id").isNotNull()).count()
-    done = state.filter(F.col("next_id").isNull())
-    if open_rows:
-        looping = state.filter(F.col("next_id").isNotNull()).select("message_id", "author_id")
-        done = done.unionByName(_walk_cycles(looping, edges))
-    return done.filter(F.col("author_id").isin(*brands) & (F.col("customers") > 0)).select(
-        "message_id",
-        "author_id",
-        F.col("last_id").alias("root_id"),
-        "length",
-        F.col("customers").alias("customer_messages"),
-    )
+        left = state.filter(F.col("next_id").isNotNull()).count()
+    return state.filter(F.col("next_id").isNull()), state.filter(F.col("next_id").isNotNull()), left
 
 
-def _walk_cycles(starts: DataFrame, edges: DataFrame) -> DataFrame:
-    """Step by step with the set of parents already taken; only messages that lead into a
-    cycle come here. The start itself may be reached once more, as its own ancestor."""
-    walk = starts.join(edges, "message_id").select(
+def _settle_cycles(nodes: DataFrame, n: int, rows_per_task: int) -> DataFrame:
+    """Chains of ``n`` messages (message_id, author_id, next_id, customer) that all lead into cycles.
+
+    A walk over parents ends when it would take a parent again; the start itself may be reached once
+    more, as its own ancestor. So a message on a cycle of L messages counts L + 1, itself twice, and
+    one whose walk takes t steps to its cycle counts t + L and ends before the place it entered at.
+
+    All in about log2(n) rounds of jumps of doubled length. After n steps every walk is on its cycle,
+    and the messages reached are the cycles' own. The least id on the way, also doubled, names a
+    cycle. The rest are paths to those messages, which ``_to_roots`` follows.
+    """
+    spark = nodes.sparkSession
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # a round is one job, not one for every exchange
+    try:
+        jumps = nodes.select("message_id", F.col("next_id").alias("far"), F.col("message_id").alias("least"))
+        steps = 1
+        while steps < n:
+            ahead = jumps.select(F.col("message_id").alias("far"), F.col("far").alias("n_far"), F.col("least").alias("n_least"))
+            moved = lookup_join(jumps, ahead, "far", "inner", ["message_id"], rows_per_task, n)
+            jumps = cut_lineage(moved.select("message_id", F.col("n_far").alias("far"), F.least("least", "n_least").alias("least")))
+            steps *= 2
+        reached = jumps.select(F.col("far").alias("message_id")).distinct()
+        own = nodes.join(reached, "message_id", "left_semi").join(
+            jumps.select("message_id", F.col("least").alias("cycle")), "message_id"
+        )
+        own = cut_lineage(own)
+        sums = own.groupBy("cycle").agg(F.count(F.lit(1)).alias("size"), F.sum("customer").alias("all_customers"))
+        on_cycle = cut_lineage(lookup_join(own, sums, "cycle", "inner", ["message_id"], rows_per_task, n))
+        tails = nodes.join(on_cycle.select("message_id"), "message_id", "left_anti")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    done = on_cycle.select(
         "message_id",
         "author_id",
-        "next_id",
+        F.lit(None).cast("string").alias("next_id"),
         F.col("message_id").alias("last_id"),
-        F.lit(1).cast("long").alias("length"),
-        F.col("customer").alias("customers"),
-        F.array().cast("array<string>").alias("taken"),
-    )
-    ahead = edges.select(
-        F.col("message_id").alias("next_id"), F.col("next_id").alias("n_next"), F.col("customer").alias("n_customer")
+        (F.col("size") + 1).alias("length"),
+        (F.col("customer") + F.col("all_customers")).alias("customers"),
     )
-    walk = cut_lineage(walk)
-    finished = None
-    while True:
-        fresh = F.col("next_id").isNotNull() & ~F.array_contains("taken", F.col("next_id"))
-        ended = walk.filter(~fresh).drop("taken").withColumn("next_id", F.lit(None).cast("string"))
-        finished = ended if finished is None else finished.unionByName(ended)
-        walk = cut_lineage(
-            walk.filter(fresh)
-            .join(ahead, "next_id")
-            .select(
-                "message_id",
-                "author_id",
-                F.col("n_next").alias("next_id"),
-                F.col("next_id").alias("last_id"),
-                (F.col("length") + 1).alias("length"),
-                (F.col("customers") + F.col("n_customer")).alias("customers"),
-                F.concat("taken", F.array("next_id")).alias("taken"),
-            )
+    if on_cycle.count() == n:
+        return done
+    start = {
+        "last_id": F.col("message_id"),
+        "length": F.lit(1).cast("long"),
+        "customers": F.col("customer"),
+    }
+    columns = ["message_id", "author_id", "next_id", *start]
+    ends = on_cycle.select("message_id", "author_id", F.lit(None).cast("string").alias("next_id"), "customer")
+    state = tails.unionByName(ends).withColumns(start).select(*columns)
+    paths, _, _ = _to_roots(cut_lineage(state), rows_per_task)
+    entered = on_cycle.select(F.col("message_id").alias("last_id"), "size", "all_customers", F.col("customer").alias("own"))
+    before = on_cycle.select(F.col("next_id").alias("last_id"), F.col("message_id").alias("end_id"))
+    led = paths.join(on_cycle.select("message_id"), "message_id", "left_anti")
+    led = lookup_join(led, entered.join(before, "last_id"), "last_id", "inner", ["message_id"], rows_per_task, n)
+    return done.unionByName(
+        led.select(
+            "message_id",
+            "author_id",
+            "next_id",
+            F.col("end_id").alias("last_id"),
+            (F.col("length") - 1 + F.col("size")).alias("length"),
+            (F.col("customers") - F.col("own") + F.col("all_customers")).alias("customers"),
         )
-        if walk.isEmpty():
-            return finished
+    )

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,3 +93,46 @@ def test_keep_first_and_salted_join(spark):
         plain = sorted(map(tuple, left.join(right, "k", how).fillna(-1).collect()), key=str)
         salted = sorted(map(tuple, lookup_join(left, right, "k", how, ["id"], 7).fillna(-1).collect()), key=str)
         assert plain == salted
+
+
+MESSAGES = "message_id string, author_id string, parent_id string, text string, created_at timestamp"
+
+
+def walked(parents, authors, start):
+    """The reference walk: parents one by one until one would be taken again."""
+    taken, chain, at = set(), [start], parents.get(start)
+    while at in parents and at not in taken:
+        taken.add(at)
+        chain.append(at)
+        at = parents[at]
+    return start, authors[start], chain[-1], len(chain), sum(authors[x] != "Brand" for x in chain)
+
+
+@pytest.mark.parametrize("rows_per_task", [1_000_000, 3])
+def test_chains_into_cycles_of_any_length(spark, rows_per_task):
+    rng = random.Random(rows_per_task)
+    ids = [f"m{i}" for i in range(90)]
+    # a few messages are the parents of a third of all; some parents are missing
+    parents = {m: rng.choice(ids[:3]) if rng.random() < 0.3 else rng.choice([*ids, None, "gone"]) for m in ids}
+    parents |= {f"c{i}": f"c{(i + 1) % 7}" for i in range(7)} | {f"t{i}": f"t{i + 1}" for i in range(9)} | {"t9": "c3", "self": "self", "to": "self"}
+    authors = {m: rng.choice(["Brand", "x", "y"]) for m in parents}
+    df = spark.createDataFrame([(m, authors[m], p, "t", None) for m, p in parents.items()], MESSAGES)
+    got = threads.reply_chains(df, ["Brand"], relevant_only=False, rows_per_task=rows_per_task).collect()
+    want = [w for w in (walked(parents, authors, m) for m in parents if authors[m] == "Brand") if w[4]]
+    assert sorted(map(tuple, got)) == sorted(want) and any(m.startswith("t") for m, *_ in want)
+
+
+def test_a_long_cycle_takes_few_jobs(spark):
+    n = 10_000
+    rows = spark.range(n).select(
+        F.col("id").cast("string").alias("message_id"),
+        F.when(F.col("id") % 2 == 0, "Brand").otherwise("x").alias("author_id"),
+        ((F.col("id") + 1) % n).cast("string").alias("parent_id"),
+    )
+    sc = spark.sparkContext
+    sc.setJobGroup("cycle", "cycle")
+    got = threads.reply_chains(rows, ["Brand"], relevant_only=False)
+    seen = got.groupBy("length", "customer_messages").count().collect()
+    jobs = len(sc.statusTracker().getJobIdsForGroup("cycle"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert [tuple(r) for r in seen] == [(n + 1, n // 2, n // 2)] and jobs <= 40, jobs
