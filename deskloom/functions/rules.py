@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskloom.functions import lexicon as lex
 from deskloom.functions import text as tx
+from deskloom.functions.phrases import PhraseBits
 
 
 @dataclass(frozen=True)
@@ -23,15 +25,37 @@ class Rule:
     exact: Sequence[str] = ()
     max_words: int = 2
 
-    def condition(self, cleaned: Column, match: str = "substring") -> Column:
+    def condition(self, cleaned: Column, match: str = "substring", found: Found | None = None) -> Column:
+        """``found`` has the bits of the cleaned text, if its phrases have been looked up already."""
+
+        def any_of(phrases: Sequence[str]) -> Column:
+            return found.any_of(phrases) if found else tx.contains_any(cleaned, phrases, match)
+
         if self.exact:
             return cleaned.isin(*self.exact) & (tx.word_count(cleaned) <= self.max_words)
         if self.all_of:
             hit = F.lit(True)
             for group in self.all_of:
-                hit = hit & tx.contains_any(cleaned, group, match)
+                hit = hit & any_of(group)
             return hit
-        return tx.contains_any(cleaned, self.any_of, match)
+        return any_of(self.any_of)
+
+    def phrases(self) -> list[str]:
+        return [*self.any_of, *(p for group in self.all_of for p in group)]
+
+
+@dataclass(frozen=True)
+class Found:
+    """A vocabulary and the column with the bits of a text."""
+
+    vocabulary: PhraseBits
+    bits: Column
+
+    def any_of(self, phrases: Sequence[str]) -> Column:
+        return self.vocabulary.any_of(self.bits, phrases)
+
+    def count(self, phrases: Sequence[str]) -> Column:
+        return self.vocabulary.count(self.bits, phrases)
 
 
 @dataclass(frozen=True)
@@ -44,10 +68,10 @@ class RuleSet:
     profile: str = "message"
     match: str = "substring"
 
-    def label(self, cleaned: Column) -> Column:
+    def label(self, cleaned: Column, found: Found | None = None) -> Column:
         branch = None
         for rule in self.rules:
-            hit = rule.condition(cleaned, self.match)
+            hit = rule.condition(cleaned, self.match, found)
             branch = F.when(hit, F.lit(rule.label)) if branch is None else branch.when(hit, F.lit(rule.label))
         return F.lit(self.default) if branch is None else branch.otherwise(F.lit(self.default))
 
@@ -75,8 +99,11 @@ class ScoredSet:
     default: str
     profile: str = "lower"
 
-    def scores(self, cleaned: Column) -> Column:
-        return F.array(*[tx.phrase_hits(cleaned, p) * F.lit(w) for p, w in self.weights.values()])
+    def scores(self, cleaned: Column, found: Found | None = None) -> Column:
+        def hits(phrases: Sequence[str]) -> Column:
+            return found.count(phrases) if found else tx.phrase_hits(cleaned, phrases)
+
+        return F.array(*[hits(p) * F.lit(w) for p, w in self.weights.values()])
 
     def label(self, scores: Column) -> Column:
         names = F.array(*[F.lit(n) for n in self.weights])
@@ -110,6 +137,33 @@ def classify_by_score(
     )
 
 
+def classify_in_one_pass(
+    df: DataFrame, text_col: str, rule_sets: Mapping[str, RuleSet], scored: Mapping[str, ScoredSet] = MappingProxyType({})
+) -> DataFrame:
+    """Any number of rule sets and scored sets over one column: ``rule_sets`` and ``scored`` name the
+    labels they make; a scored set also makes ``<name>_score``. Every cleaning profile is applied
+    once and every cleaned text is read once, however many sets and phrases there are."""
+    by_profile: dict[str, list[str]] = {}
+    for rules in rule_sets.values():
+        if rules.match != "substring":
+            raise ValueError(f"rule set {rules.name!r} asks for whole words; use classify")
+        by_profile.setdefault(rules.profile, []).extend(p for r in rules.rules for p in r.phrases())
+    for sets in scored.values():
+        by_profile.setdefault(sets.profile, []).extend(p for phrases, _ in sets.weights.values() for p in phrases)
+    out, found = df, {}
+    for i, (profile, phrases) in enumerate(by_profile.items()):
+        vocabulary = PhraseBits(phrases)
+        out = out.withColumn(f"__cleaned{i}", tx.clean(F.col(text_col), profile))
+        out = out.withColumn(f"__bits{i}", vocabulary.of(F.col(f"__cleaned{i}")))
+        found[profile] = F.col(f"__cleaned{i}"), Found(vocabulary, F.col(f"__bits{i}"))
+    for name, rules in rule_sets.items():
+        out = out.withColumn(name, rules.label(*found[rules.profile]))
+    for name, sets in scored.items():
+        out = out.withColumn("__scores", sets.scores(*found[sets.profile]))
+        out = out.withColumn(name, sets.label(F.col("__scores"))).withColumn(f"{name}_score", F.array_max("__scores"))
+    return out.drop("__scores", *[f"__{c}{i}" for i in range(len(by_profile)) for c in ("cleaned", "bits")])
+
+
 # --- replies ----------------------------------------------------------------------------------
 
 
@@ -154,18 +208,20 @@ def with_signals(
     signals: Mapping[str, Sequence[str]],
     synonyms: Sequence[tuple[str, str]],
     out: str = "signals",
+    one_pass: bool = False,
 ) -> DataFrame:
-    """Sorted array of the signals whose phrases occur in the synonym-normalised text."""
-    tmp = "__normalised"
-    found = [
-        F.when(tx.contains_any(F.col(tmp), phrases), F.lit(name))
-        for name, phrases in sorted(signals.items())
-    ]
-    return (
-        df.withColumn(tmp, tx.replace_in_order(F.col(text_col), synonyms))
-        .withColumn(out, F.array_compact(F.array(*found)))
-        .drop(tmp)
-    )
+    """Sorted array of the signals whose phrases occur in the synonym-normalised text. ``one_pass``
+    looks all phrases up at once, which pays for large vocabularies."""
+    tmp, bits = "__normalised", "__bits"
+    df = df.withColumn(tmp, tx.replace_in_order(F.col(text_col), synonyms))
+    if one_pass:
+        vocabulary = PhraseBits(*signals.values())
+        df = df.withColumn(bits, vocabulary.of(F.col(tmp)))
+        shows = Found(vocabulary, F.col(bits)).any_of
+    else:
+        shows = lambda phrases: tx.contains_any(F.col(tmp), phrases)
+    found = [F.when(shows(phrases), F.lit(name)) for name, phrases in sorted(signals.items())]
+    return df.withColumn(out, F.array_compact(F.array(*found))).drop(tmp, bits)
 
 
 @dataclass(frozen=True)
