@@ -63,10 +63,29 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm = spark._jvm
         for path in _scopes().pop():
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            delete_folder(spark, path)
+
+
+def _folder(spark: SparkSession, path: str):
+    """The path and its file system, as Spark's own readers and writers see them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def child_folders(spark: SparkSession, path: str, holding: str | None = None) -> list[str]:
+    """Names of the folders in ``path``, or of those that hold a file named ``holding``."""
+    folder, files = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    held = [c.getPath() for c in files.listStatus(folder) if c.isDirectory()]
+    marker = spark._jvm.org.apache.hadoop.fs.Path
+    return [p.getName() for p in held if holding is None or files.exists(marker(p, holding))]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
