@@ -198,8 +198,11 @@ def _settle_cycles(nodes: DataFrame, n: int, rows_per_task: int) -> DataFrame:
     cycle. The rest are paths to those messages, which ``_to_roots`` follows.
     """
     spark = nodes.sparkSession
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")  # a round is one job, not one for every exchange
+    # a round is one job, not one for every exchange or broadcast
+    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in plain}
+    for key, value in plain.items():
+        spark.conf.set(key, value)
     try:
         jumps = nodes.select("message_id", F.col("next_id").alias("far"), F.col("message_id").alias("least"))
         steps = 1
@@ -217,7 +220,8 @@ def _settle_cycles(nodes: DataFrame, n: int, rows_per_task: int) -> DataFrame:
         on_cycle = cut_lineage(lookup_join(own, sums, "cycle", "inner", ["message_id"], rows_per_task, n))
         tails = nodes.join(on_cycle.select("message_id"), "message_id", "left_anti")
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     done = on_cycle.select(
         "message_id",
         "author_id",
@@ -238,9 +242,9 @@ def _settle_cycles(nodes: DataFrame, n: int, rows_per_task: int) -> DataFrame:
     state = tails.unionByName(ends).withColumns(start).select(*columns)
     paths, _, _ = _to_roots(cut_lineage(state), rows_per_task)
     entered = on_cycle.select(F.col("message_id").alias("last_id"), "size", "all_customers", F.col("customer").alias("own"))
-    before = on_cycle.select(F.col("next_id").alias("last_id"), F.col("message_id").alias("end_id"))
+    ends = on_cycle.select(F.col("next_id").alias("last_id"), F.col("message_id").alias("end_id"))
     led = paths.join(on_cycle.select("message_id"), "message_id", "left_anti")
-    led = lookup_join(led, entered.join(before, "last_id"), "last_id", "inner", ["message_id"], rows_per_task, n)
+    led = lookup_join(led, entered.join(ends, "last_id"), "last_id", "inner", ["message_id"], rows_per_task, n)
     return done.unionByName(
         led.select(
             "message_id",
