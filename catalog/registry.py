@@ -12,7 +12,9 @@ from catalog import prose, sql
 from deskloom.functions import lexicon as lex
 from deskloom.functions import text as tx
 from deskloom.functions.index_rules import INDEX_RULES
-from deskloom.functions.rules import classify, classify_by_score, consistent, with_response_type, with_signals
+from deskloom.functions.rules import (
+    classify, classify_by_score, classify_in_one_pass, consistent, with_response_type, with_signals,
+)
 from deskloom.operators import evidence as ev
 from deskloom.operators import leakage, learning, metrics, profile, retrieval, review, sampling, skew, threads, tfidf
 from deskloom.plans import evaluation, indexing, triage as tri
@@ -298,6 +300,18 @@ def classify_max_score(spark, sf):
     return classify_by_score(documents(spark, sf), prose.SCORED, "text").select("doc_id", "intent", "score")
 
 
+LOWER_LABEL, LOWER_SCORE = sql.score_case(prose.SCORED, "l")
+
+
+@query("classify_one_pass", f"""select doc_id, {sql.label_case(SUPPORT_RULES, 'm')} as support, {sql.label_case(prose.RULES, 'm')} as compound,
+  {sql.label_case(INDEX_RULES, 'i')} as indexed, {LOWER_LABEL} as scored, ({LOWER_SCORE})::int as scored_score
+from (select doc_id, {sql.clean('text', 'message')} as m, {sql.clean('text', 'index')} as i, lower(text) as l from documents)""")
+def classify_one_pass(spark, sf):
+    """Three rule sets and a scored set, each text read once per cleaning profile."""
+    sets = {"support": SUPPORT_RULES, "compound": prose.RULES, "indexed": INDEX_RULES}
+    return classify_in_one_pass(documents(spark, sf), "text", sets, {"scored": prose.SCORED}).drop("text")
+
+
 @query("response_type", f"""with {sql.MESSAGES} select message_id, {sql.response_case(prose.RESPONSES, 'text', 'c')} as response_type
 from (select message_id, text, {sql.clean('text', 'index')} as c from messages)""")
 def response_type(spark, sf):
@@ -311,6 +325,12 @@ def problem_signals(spark, sf):
     return marked.select("doc_id", F.array_join("signals", ",").alias("signals"))
 
 
+@query("signals_one_pass", ORACLES["problem_signals"])
+def signals_one_pass(spark, sf):
+    marked = with_signals(documents(spark, sf), "text", prose.SIGNALS, prose.SYNONYMS, one_pass=True)
+    return marked.select("doc_id", F.array_join("signals", ",").alias("signals"))
+
+
 @query("consistency_gate", f"""with {sql.PAIRS}
 select reply_id, intent, {sql.gate_case(prose.POLICY.gate, 'intent', 'cur', 'hist')} as is_consistent from (
   select reply_id, {sql.label_case(prose.RULES, 'm')} as intent, {sql.signal_list('a', prose.SIGNALS)} as cur, {sql.signal_list('b', prose.SIGNALS)} as hist
@@ -366,15 +386,31 @@ def index_roundtrip(spark, sf):
     cases, index = case_index(spark, sf)
     path = scratch(spark)
     index_store.save_index(index, cases, path)
-    loaded, kept = index_store.load_index(spark, path)
-    entries = loaded.postings().join(loaded.members, ["part", "vec_id"]).drop("salts")
-    joined = entries.join(loaded.vocab, ["part", "term"]).join(F.broadcast(loaded.parts), "part")
-    joined = joined.join(kept.select("case_id", "customer_text"), "case_id")
+    return index_entries(*index_store.load_index(spark, path))
+
+
+def index_entries(index, cases):
+    entries = index.postings().join(index.members, ["part", "vec_id"]).drop("salts")
+    joined = entries.join(index.vocab, ["part", "term"]).join(F.broadcast(index.parts), "part")
+    joined = joined.join(cases.select("case_id", "customer_text"), "case_id")
     return joined.select(
         "part", "case_id", "customer_text", "term", r6("weight").alias("weight"), "df", r6("idf").alias("idf"), "docs"
     )
 
 
+@query("index_merge", ORACLES["index_roundtrip"])
+def index_merge(spark, sf):
+    """Half of the cases are indexed and kept; the other half is merged into what was kept."""
+    cases = threads.build_cases(messages(spark, sf), prose.BRAND, prose.POLICY)
+    half = F.crc32(F.col("case_id").cast("binary")) % 2 == 0
+    cases = cut_lineage(cases.withColumn("half", half))
+    path = scratch(spark)
+    first = cases.filter("half").drop("half")
+    index_store.save_index(tfidf.build_index(first, prose.SPEC), first, path)
+    kept, _ = index_store.load_index(spark, path)
+    return index_entries(tfidf.merge_cases(kept, cases.filter("NOT half")), cases)
+
+
 RETRIEVAL = f"""with {sql.cases()},
 {sql.QUERIES},
 {C_SRC},

@@ -19,19 +19,13 @@ EPS = 2e-9
 
 
 def _scores(entries: DataFrame, index: TfidfIndex) -> DataFrame:
-    """(part, q_key, vec_id, score): dot product over the given query entries.
-
-    A term's postings are spread over ``salts`` pieces by vector id and the query side is
-    repeated per piece, so a frequent term is never one task.
-    """
-    salted = index.postings().withColumn(
-        "salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int")
-    ).drop("salts")
+    """(part, q_key, vec_id, score): dot product over the given query entries. The query side is
+    repeated per piece of a term's postings, so a frequent term is never one task."""
     asked = entries.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select(
         "part", "q_key", "term", "salt", F.col("weight").alias("q_weight")
     )
     return (
-        asked.join(salted, ["part", "term", "salt"])
+        asked.join(index.salted_postings(), ["part", "term", "salt"])
         .groupBy("part", "q_key", "vec_id")
         .agg(F.sum(F.col("q_weight") * F.col("weight")).alias("score"))
     )

@@ -61,7 +61,10 @@ class TfidfIndex:
     members: DataFrame
     parts: DataFrame
     vocab_bound: int  # proven upper bound of the vocabulary's rows
+    words: DataFrame | None = None  # (part, doc_id, words) of every case, to merge others in
+    totals: DataFrame | None = None  # (part, term, df, total) before any limit, if they are kept
     shards: DataFrame | None = None  # as ``blocks.shards_of`` makes them, if they are kept
+    salted: DataFrame | None = None  # ``salted_postings`` in buckets, if they are kept
 
     @property
     def small_vocab(self) -> bool:
@@ -71,6 +74,14 @@ class TfidfIndex:
         """The shards that searches read: those kept with the index, else made and written now."""
         return self.shards if self.shards is not None else cut_lineage(shards_of(self.vectors))
 
+    def salted_postings(self) -> DataFrame:
+        """(part, term, salt, vec_id, weight): a term's postings are spread over ``salts`` pieces by
+        vector id. Kept in buckets of these keys they are joined without being moved."""
+        if self.salted is not None:
+            return self.salted
+        salt = F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int").alias("salt")
+        return self.postings().select("part", "term", salt, "vec_id", "weight")
+
     def postings(self) -> DataFrame:
         """(part, vec_id, term, weight, salts), one row per entry of a vector."""
         return self.vectors.select(
@@ -339,9 +350,14 @@ def build_index(
 ) -> TfidfIndex:
     """Index the cases: texts are tokenised in one pass, and every table of the index is written
     to the checkpoint folder; use ``deskloom.sources.index_store`` to keep it for other sessions."""
-    parts, n_parts = part_sizes(cases, part_col)
     words = cut_lineage(words_table(cases, spec, id_col, text_col, part_col))
-    vocab = cut_lineage(build_vocab(count_terms(words, spec), parts, spec))
+    return index_words(words, count_terms(words, spec), spec)
+
+
+def index_words(words: DataFrame, totals: DataFrame, spec: TfidfSpec) -> TfidfIndex:
+    """The index of (part, doc_id, words) with the given (part, term, df, total)."""
+    parts, n_parts = part_sizes(words, "part")
+    vocab = cut_lineage(build_vocab(totals, parts, spec))
     bound = vocab.count() if spec.max_features is None else spec.max_features * n_parts
     weighed = cut_lineage(weigh(words, vocab, bound <= BROADCAST_TERMS, spec))
     vectors = cut_lineage(
@@ -359,9 +375,30 @@ def build_index(
         members=cut_lineage(members.select("part", "vec_id", "case_id")),
         parts=parts,
         vocab_bound=bound,
+        words=words,
     )
 
 
+def all_totals(index: TfidfIndex) -> DataFrame:
+    """(part, term, df, total) of every term that a case of the index has."""
+    return index.totals if index.totals is not None else count_terms(index.words, index.spec)
+
+
+def merge_cases(
+    index: TfidfIndex, cases: DataFrame, id_col: str = "case_id", text_col: str = "customer_text", part_col: str = "intent"
+) -> TfidfIndex:
+    """The index of the old and the new cases: what ``build_index`` makes of both together. Only the
+    new texts are tokenised and counted; their counts are added to those of the old ones, so every
+    frequency is right, and all words are weighed anew. A case whose id the index has must not come
+    again."""
+    if index.words is None:
+        raise ValueError("the index was kept without its words; build it anew")
+    added = cut_lineage(words_table(cases, index.spec, id_col, text_col, part_col))
+    both = all_totals(index).unionByName(count_terms(added, index.spec))
+    totals = both.groupBy("part", "term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+    return index_words(cut_lineage(index.words.unionByName(added)), totals, index.spec)
+
+
 def vectorize_queries(
     queries: DataFrame, index: TfidfIndex, id_col: str, text_col: str, part_col: str
 ) -> tuple[DataFrame, DataFrame, int]:

@@ -178,6 +178,45 @@ def test_index_survives_a_roundtrip(spark, built, tmp_path):
     assert loaded.spec == tfidf.TfidfSpec(**{**loaded.spec.__dict__})
 
 
+def entries(index):
+    rows = index.postings().join(index.members, ["part", "vec_id"]).collect()
+    return sorted((r.part, r.case_id, r.term, round(r.weight, 9)) for r in rows)
+
+
+def test_merged_cases_equal_a_new_index(spark, built, tmp_path):
+    cases, queries, df, asked, index = built
+    first, second = (spark.createDataFrame(c, df.schema) for c in (cases[:50], cases[50:] + [(500, "C", "the new part is the new part"), (501, "A", "")]))
+    index_store.save_index(tfidf.build_index(first, index.spec), first, str(tmp_path / "ix"))
+    loaded, _ = index_store.load_index(spark, str(tmp_path / "ix"))
+    merged = tfidf.merge_cases(loaded, second)
+    whole = tfidf.build_index(first.unionByName(second), index.spec)
+    assert entries(merged) == entries(whole)
+    vocab = ["part", "term", "df", "idf"]
+    assert sorted(map(tuple, merged.vocab.select(vocab).collect())) == sorted(map(tuple, whole.vocab.select(vocab).collect()))
+    rows = retrieval.retrieve(asked, merged, 3).collect()
+    assert {(r.query_id, r.rank_no): (r.case_id, round(r.similarity, 6)) for r in rows} == brute(cases + [(500, "C", "the new part is the new part"), (501, "A", "")], queries, 3)
+
+
+def test_the_kept_postings_are_joined_where_they_lie(spark, built, tmp_path):
+    _, _, df, asked, index = built
+    index_store.save_index(index, df, str(tmp_path / "ix"), buckets=16)
+    loaded, _ = index_store.load_index(spark, str(tmp_path / "ix"))
+    distinct, _, _ = tfidf.vectorize_queries(asked, loaded, "query_id", "customer_text", "intent")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        pieces = distinct.select("part", "q_key", F.inline("vec").alias("term", "weight", "df", "salts"))
+        plan = retrieval._scores(pieces, loaded)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    scan = next(i for i, x in enumerate(lines) if "SelectedBucketsCount" in x or "Bucketed: true" in x)
+    join = max(i for i in range(scan) if "Join" in lines[i])
+    # between the join and the scan of the postings, on the scan's own branch, nothing is exchanged
+    depth = [len(x) - len(x.lstrip(" :|+-")) for x in lines]
+    own = [i for i in range(join + 1, scan + 1) if all(depth[j] > depth[i] for j in range(i + 1, scan + 1))]
+    assert not any("Exchange" in lines[i] for i in own)
+
+
 def test_rerank(spark):
     rows = [(1, 1, 10, 0.9, "generic"), (1, 2, 11, 0.5, "troubleshooting"), (1, 3, 12, 0.1, "troubleshooting"), (1, 4, 13, 0.4, "clarification")]
     hits = spark.createDataFrame(rows, "query_id int, rank_no int, case_id int, similarity double, response_type string")
