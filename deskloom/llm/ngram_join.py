@@ -21,7 +21,8 @@ What keeps the product small:
   links are then attached, and only pairs of documents in different components are multiplied out,
   in blocks of ``BLOCK_ROWS`` documents: a group of near copies takes part with its stars only, no
   task holds a whole hot column, and no link that could join two components is left out.
-* Large groups of equal sets are represented by one document (at most ``HOT_SETS`` such groups).
+* Large groups of equal sets are represented by one document (at most ``HOT_SETS`` such groups); an
+  id of the group that has another text too is linked to it.
 * Bit sketches bound a pair's overlap from above, inside the product of a block, so that pairs
   below the bound are never written; the full rows of the few others are then compared.
 
@@ -607,6 +608,17 @@ def verified(pairs: DataFrame, source: DataFrame, words: int, bounds) -> DataFra
     return _compared(pairs, rows, "shingles", links)
 
 
+def represented(sizes: DataFrame, groups: DataFrame) -> DataFrame:
+    """(a, b): links to the document that stands for a large group, from the ids of the group that
+    have another set, or an empty one, as well. Only through them does the group reach its links."""
+    marked = sizes.filter(F.col("doc_id").isNotNull()).join(F.broadcast(groups), ["n", "s1", "s2"], "left")
+    sets = F.struct("n", "s1", "s2")
+    several = marked.groupBy("doc_id").agg(
+        F.min(sets).alias("low"), F.max(sets).alias("high"), F.collect_set("stands").alias("stands")
+    ).filter(F.col("low") != F.col("high"))
+    return several.select(F.col("doc_id").alias("a"), F.explode("stands").alias("b")).filter("a <> b")
+
+
 def ngram_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -642,6 +654,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, words: int, similar
         .drop("rows")
     )
     hot = sc.broadcast({(r["s1"], r["s2"]): r["stands"] for r in groups.collect()})
+    tied = represented(sizes, groups) if hot.value else None
     entries = int(totals["first"] or 0)
     levels = sc.broadcast(column_levels(source, words, similarity, entries))
 
@@ -652,7 +665,8 @@ def _components(docs: DataFrame, id_col: str, text_col: str, words: int, similar
     )
     ids = products.select(F.col("a").alias("doc")).unionByName(stars.select(F.col("b").alias("doc")))
     sketches = cut_lineage(document_rows(source, ids, words, "bits"))
-    links = cut_lineage(verified(sketched(stars, sketches, similarity), source, words, similarity))
+    links = verified(sketched(stars, sketches, similarity), source, words, similarity)
+    links = cut_lineage(links if tied is None else links.select("a", "b").unionByName(tied))
     components = connected_components(links)
 
     labelled = large.join(components.withColumnRenamed("node", "doc"), "doc", "left").withColumn(

@@ -74,6 +74,34 @@ def test_repeated_and_null_ids_and_no_rows(make):
     assert ngram_components(make([])).count() == 0
 
 
+def brute_rows(rows):
+    """As ``brute``, for ids with several texts: an id links by any of its rows."""
+    sets = [(i, next(iter(sets_of([(i, t)]).values()))) for i, t in rows]
+    parent = {i: i for i, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for x, (i, a) in enumerate(sets):
+        for j, b in sets[:x]:
+            both = len(a & b)
+            if both and 100 * both >= 75 * len(a | b):
+                one, two = sorted((root(i), root(j)))
+                parent[two] = one
+    return sorted((i, len(a), root(i)) for i, a in sets)
+
+
+@pytest.mark.parametrize("size", [5, 8, 9, 30])
+def test_ids_with_several_texts_in_groups_of_any_size(make, size):
+    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six", "x y z u v w")
+    rows = [(i, a) for i in range(1, size + 1)] + [(size, b), (40, b), (41, c), (40, c)]
+    rows += [(60 + i, "a second large group of equal texts") for i in range(size)] + [(60 + size // 2, c), (200, a), (200, "")]
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_components(make(rows)).collect())
+    assert got == brute_rows(rows) and {x[2] for x in got} == {1}
+
+
 def test_sketches_never_bound_too_low():
     rng = np.random.default_rng(1)
     for n, m in ((1, 1), (5, 40), (300, 260), (900, 900)):
