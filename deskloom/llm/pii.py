@@ -35,6 +35,7 @@ DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 GROUPED = re.compile(r"[0-9](?:[\x20-]?[0-9])*")
 DIALLED = re.compile(r"[0-9][\x20().0-9-]+[0-9]")
 ADDRESS = re.compile(r"[^\s<>\"'`{}|\\^]+")
+HOST = re.compile(r"[^\s<>\"'`{}|\\^/?#]*")
 IDENTIFIER = re.compile(r"[\x20\t]*(?:no\.?|nr\.?|number)?[\x20\t]*[:#=]?[\x20\t]*([A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)")
 IBAN = re.compile(r"[\x20\t]*[:#=]?[\x20\t]*([A-Za-z]{2}[0-9]{2}(?:\x20?[A-Za-z0-9]){10,30})")
 SCHEMES = ("http://", "https://", "ftp://")
@@ -123,7 +124,9 @@ def find_spans(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, i
                 if 9 <= len(_ascii_digits(number[0])) <= 15:
                     spans.append((at, number.end(), "phone"))
         elif kind == "url":
-            if at >= past["url"] and (rest := ADDRESS.match(text, last + 1)):
+            # the host alone is looked at first: a run of schemes without one is passed in linear time
+            if at >= past["url"] and "." in HOST.match(text, last + 1)[0].strip("."):
+                rest = ADDRESS.match(text, last + 1)
                 end = last + 1 + len(rest[0].rstrip(".,;:!?)]"))
                 host = re.split("[/?#]", text[last + 1 : end], maxsplit=1)[0]
                 if "." in host.strip("."):

@@ -1,4 +1,5 @@
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -55,6 +56,32 @@ def test_long_runs_stay_linear():
     assert base(text) == [(0, n + 1 + n + 1 + n, "email")]
 
 
+def brute_urls(text):
+    """Schemes one after another, each with its whole run, as often as it takes."""
+    found, past = [], 0
+    for m in re.finditer("https?://|ftp://", text, re.IGNORECASE):
+        run = re.match(r"[^\s<>\"'`{}|\\^]*", text[m.end() :])[0].rstrip(".,;:!?)]")
+        if m.start() >= past and "." in re.split("[/?#]", run)[0].strip("."):
+            found.append((m.start(), m.end() + len(run)))
+            past = m.end() + len(run)
+    return found
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["http://", "https://", "a", ".", "b.c", "/", "?", ")", ",", " ", "<", "é"]), max_size=14))
+def test_urls_equal_the_plain_search(parts):
+    text = "".join(parts)
+    assert [s[:2] for s in find_spans(text, AUTOMATON) if s[2] == "url"] == brute_urls(text)
+
+
+def test_runs_of_schemes_stay_linear():
+    for unit in ("http://", "http://a.)", "https://x/"):
+        text = unit * (400_000 // len(unit))
+        start = time.perf_counter()
+        spans = find_spans(text, AUTOMATON)
+        assert time.perf_counter() - start < 5 and len(spans) <= 1
+
+
 def test_rows(make):
     rows = [(1, None), (None, "x@y.zz"), (3, ""), (3, "1.2.3.4"), (3, "1.2.3.4")]
     got = sorted((r["doc_id"] or 0, list(r["kinds"])) for r in find_personal_data(make(rows)).collect())
