@@ -9,8 +9,8 @@ distance of signatures of equal level; levels that differ by more than one are n
 
 Whole texts are hashed, as UTF-8. Defined results: a null text counts as empty; the fingerprint of
 an empty text is ``0::``; two empty signatures are alike (1), an empty and another one are not (0).
-``neighbour_fingerprints`` orders rows by id and then text, nulls first, so ties and rows that
-repeat an id have an order; the last row is followed by the first, also by itself in a table of
+``neighbour_fingerprints`` orders rows by id, nulls first, and then a digest of the text, so ties and
+rows that repeat an id have an order and no text is sampled for the ranges; the last row is followed by the first, also by itself in a table of
 one row; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -58,12 +58,12 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS, _INVERSES = _powers(_BASE, STRIP), _powers(_INVERSE, STRIP)
 
 
-def boundaries(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ends, levels, content): the places after which a chunk may end, the highest level at which
-    it does, and the hash of all bytes up to each end. One bit in eight suffices as lowest level
-    for texts over 512 bytes; shorter ones keep all of their places."""
-    least = 0 if len(data) < 512 else 3
+def boundaries(data: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ends, levels, content, fewer): the places after which a chunk of level ``least`` may end, the
+    highest level at which it does, and the hash of all bytes up to each end; and for every level
+    below ``least`` the number of places before the last one."""
     ends, levels, content = [], [], []
+    fewer = np.zeros(least, np.int64)
     carried = np.uint64(0)
     scale = np.uint64(1)
     for start in range(0, len(data), STRIP):
@@ -77,6 +77,9 @@ def boundaries(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 break
             rolled[skip:] += values[head - k + skip : len(values) - k] * _ROLL[k]
         rolled = _mix(rolled)
+        inside = rolled[: len(data) - 1 - start]
+        for k in range(least):
+            fewer[k] += np.count_nonzero((inside & np.uint64((1 << k) - 1)) == 0)
         at = np.flatnonzero((rolled & np.uint64((1 << least) - 1)) == 0)
         hit = rolled[at]
         low = hit & (~hit + np.uint64(1))
@@ -87,8 +90,8 @@ def boundaries(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         carried = sums[-1]
         scale = scale * _POWERS[-1] * np.uint64(_BASE)
     if not ends:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.uint64)
-    return np.concatenate(ends), np.concatenate(levels), np.append(np.concatenate(content), carried)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.uint64), fewer
+    return np.concatenate(ends), np.concatenate(levels), np.append(np.concatenate(content), carried), fewer
 
 
 def _signature(ends, levels, content, size: int, level: int) -> str:
@@ -120,8 +123,12 @@ def fingerprint(text: str) -> str:
     if not len(data):
         return "0::"
     with np.errstate(over="ignore"):
-        ends, levels, content = boundaries(data)
+        # in nearly every long text the lowest levels have too many places to keep
         least = 0 if len(data) < 512 else 3
+        ends, levels, content, fewer = boundaries(data, least)
+        if (fewer < MOST).any():
+            least = int(np.flatnonzero(fewer < MOST)[0])
+            ends, levels, content, _ = boundaries(data, least)
         inner = levels[ends < len(data)]
         counts = np.bincount(np.minimum(inner, LEVELS), minlength=LEVELS + 1)[::-1].cumsum()[::-1]
         level = max(least, int(np.flatnonzero(counts < MOST)[0]))
@@ -260,8 +267,9 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
             yield rows_of(ids, texts, prints, part, ["last"], texts)
 
     with shuffles_released(docs.sparkSession):
-        dealt = source.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
-        found = cut_lineage(dealt.mapInArrow(run, schema))
+        keyed = source.withColumn("tie", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+        dealt = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+        found = cut_lineage(dealt.select("doc_id", "text").mapInArrow(run, schema))
         # two rows per task: which task follows, then the two texts side by side
         firsts = found.filter("edge = 'first'").select("part", "text", "fingerprint")
         order = Window.orderBy("part")
