@@ -1162,6 +1162,83 @@ def cluster_terms(spark, sf):
     return out.select("lang", "place", "term", "mean_weight")
 
 
+CLUSTER_INDEX = f"""with c_src as (select 'all' as part, doc_id, text from documents),
+{sql.index('c', 'c_src', CLUSTER_SPEC)}"""
+CENTRES, RUNS = 4, 2
+
+
+def assign_sql(name: str, centres: str) -> str:
+    return f""",
+{name}_norms as (select n.run, n.cluster, coalesce(sum(centre * centre), 0) as norm from numbers n left join {centres} using (run, cluster) group by all),
+{name}_dots as (select run, cluster, doc_id, sum(weight * centre) as dot from c_vec join {centres} using (term) group by all),
+{name} as (
+  select run, doc_id, cluster, coalesce(own, 0) + raw as distance from (
+    select n.run, n.cluster, o.doc_id, norm - 2 * coalesce(dot, 0) as raw from {name}_norms n cross join documents o left join {name}_dots using (run, cluster, doc_id))
+  left join (select doc_id, sum(weight * weight) as own from c_vec group by doc_id) using (doc_id)
+  qualify row_number() over (partition by run, doc_id order by round(raw, 9), cluster) = 1)"""
+
+
+KMEANS = CLUSTER_INDEX + f""",
+numbers as (select run, cluster from (select unnest(range({RUNS}))::int as run), (select unnest(range({CENTRES}))::int as cluster)),
+drawn as (
+  select run, doc_id, (row_number() over (partition by run order by md5(run || ':' || doc_id || ':42'), doc_id) - 1)::int as cluster
+  from documents, (select distinct run from numbers) qualify row_number() over (partition by run order by md5(run || ':' || doc_id || ':42'), doc_id) <= {CENTRES}),
+first as (select run, cluster, term, weight as centre from drawn join c_vec using (doc_id))""" + assign_sql("one", "first") + """,
+sizes as (select run, cluster, count(*) as n from one group by all),
+means as (select run, cluster, term, sum(weight) / any_value(n) as centre from one join c_vec using (doc_id) join sizes using (run, cluster) group by all)""" + assign_sql("two", "means")
+
+
+def cluster_entries(spark, sf):
+    """(entries, ids): documents as unit-length TF-IDF vectors."""
+    docs = documents(spark, sf).withColumn("part", F.lit("all"))
+    index = tfidf.build_index(docs, CLUSTER_SPEC, "doc_id", "text", "part")
+    entries = index.postings().join(index.members, ["part", "vec_id"])
+    return cut_lineage(entries.select(F.col("case_id").alias("id"), "term", "weight")), docs.select(F.col("doc_id").alias("id"))
+
+
+@query("kmeans_step", KMEANS + " select run, doc_id, cluster, round(distance, 6) as distance from two")
+def kmeans_step(spark, sf):
+    """Two runs of k-means: drawn centres, one assignment, their means, the next assignment."""
+    entries, ids = cluster_entries(spark, sf)
+    first = learning.first_centres(entries, ids, CENTRES, RUNS)
+    assigned = learning.assign_sparse(entries, ids, cut_lineage(first), CENTRES, RUNS)
+    means = cut_lineage(learning.mean_centres(entries, cut_lineage(assigned)))
+    out = learning.assign_sparse(entries, ids, means, CENTRES, RUNS)
+    return out.select("run", F.col("id").alias("doc_id"), "cluster", r6("distance").alias("distance"))
+
+
+@query("regression_loss", CLUSTER_INDEX + """,
+classes as (select lang, (row_number() over (order by lang) - 1)::int as i from (select distinct lang from documents)),
+coefficients as (select lang, term, ((length(term) * (i + 1)) % 5 - 2) / 10.0 as c from (select distinct term from c_vec), classes),
+scored as (select doc_id, lang, sum(weight * c) as score from c_vec join coefficients using (term) group by all),
+margins as (
+  select d.doc_id, d.lang as gold, k.lang, 1 + (d.doc_id % 3) / 2.0 as importance, i / 10.0 + coalesce(score, 0) as margin
+  from documents d cross join classes k left join scored s on s.doc_id = d.doc_id and s.lang = k.lang),
+likely as (select *, exp(margin) / sum(exp(margin)) over (partition by doc_id) as p from margins),
+size as (select sum(importance) as total, sum(-importance * ln(p)) as lost, count(*) as examples from likely where lang = gold),
+residuals as (select doc_id, lang, importance * (p - (lang = gold)::int) / total as r from likely, size),
+slopes as (select lang, term, sum(r * weight) as slope from residuals join c_vec using (doc_id) group by all),
+gradient as (
+  select coalesce(slope, 0) + 0.01 * coalesce(c, 0) as g, coalesce(c, 0) as c from slopes full join coefficients using (lang, term)
+  union all select sum(r), 0 from residuals group by lang)
+select round(any_value(lost / total) + 0.005 * sum(c * c), 6) as loss, round(sqrt(sum(g * g)), 6) as gradient_norm,
+  round(max(abs(g)), 6) as gradient_max, any_value(examples)::bigint as examples from gradient, size""")
+def regression_loss(spark, sf):
+    """Loss and gradient at coefficients given by a rule, over all documents with their language."""
+    entries, _ = cluster_entries(spark, sf)
+    docs = documents(spark, sf, "doc_id", "lang")
+    names = sorted(r["lang"] for r in docs.select("lang").distinct().collect())
+    classes = spark.createDataFrame([(name, i) for i, name in enumerate(names)], "label string, i int")
+    listed = F.array(*[F.struct(F.lit(name).alias("label"), F.lit(i).alias("i")) for i, name in enumerate(names)])
+    terms = entries.select("term").distinct().select("term", F.inline(listed))
+    given = terms.select("label", "term", ((F.length("term") * (F.col("i") + 1) % 5 - 2) / 10.0).alias("coefficient"))
+    examples = docs.select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), (1 + F.col("doc_id") % 3 / 2.0).alias("importance"))
+    found = learning.regression_certificate(
+        entries, examples, given, classes.select("label", (F.col("i") / 10.0).alias("intercept")), 0.01
+    )
+    return found.select(*[r6(c).alias(c) for c in ("loss", "gradient_norm", "gradient_max")], "examples")
+
+
 @query("cluster_messages")
 def cluster_messages(spark, sf):
     """k-means over all documents; no SQL equivalent."""

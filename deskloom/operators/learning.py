@@ -187,6 +187,151 @@ def sparse_distances(entries: DataFrame, centres: DataFrame, cluster: str, id_co
     return joined.select(cluster, id_col, (F.col("__own") + F.coalesce("__norm", F.lit(0.0))).alias("distance"))
 
 
+# --- k-means over sparse entries ---------------------------------------------------------------------------
+
+
+def first_centres(entries: DataFrame, ids: DataFrame, k: int, runs: int, seed: int = 42) -> DataFrame:
+    """(run, cluster, term, centre): for every run the vectors of ``k`` documents, by a hash of run,
+    id and seed. Documents without entries may be drawn; such a centre has no row."""
+    drawn = ids.select("id", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
+    drawn = drawn.withColumn("__hash", F.md5(F.concat_ws(":", F.col("run"), F.col("id"), F.lit(seed))))
+    drawn = top_within(drawn, ["run"], [F.col("__hash"), F.col("id")], k, out="place")
+    drawn = drawn.select("run", (F.col("place") - 1).cast("int").alias("cluster"), "id")
+    return entries.join(drawn, "id").select("run", "cluster", "term", F.col("weight").alias("centre"))
+
+
+def assign_sparse(entries: DataFrame, ids: DataFrame, centres: DataFrame, k: int, runs: int) -> DataFrame:
+    """(run, id, cluster, distance): the nearest centre of every run, all runs in one pass.
+
+    ``entries`` (id, term, weight) and ``centres`` (run, cluster, term, centre) hold no zero and
+    nothing negative, as TF-IDF does. A term meets the list of its centres, at most ``k * runs`` of
+    them. |x - c|^2 = |x|^2 + |c|^2 - 2 xc is never more than |x|^2 + |c|^2, so of the centres that
+    share no term with x only the one with the least norm can be nearest: it is compared, and no
+    document meets all centres. Distances are compared at nine decimals, ties to the smaller cluster.
+    """
+    square = F.col("centre") * F.col("centre")
+    every = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("cluster")
+    numbers = centres.sparkSession.range(runs).select(F.col("id").cast("int").alias("run"), every)
+    # k * runs rows
+    norms = numbers.join(centres.groupBy("run", "cluster").agg(F.sum(square).alias("norm")), ["run", "cluster"], "left")
+    norms = cut_lineage(norms.fillna(0.0, ["norm"]))
+    least = norms.groupBy("run").agg(F.min(F.struct(F.round("norm", 9).alias("d"), "cluster", F.col("norm").alias("raw"))).alias("least"))
+    # one entry per run, listed in every document's row
+    listed = [
+        F.struct(F.lit(r["run"]).alias("run"), *[F.lit(r["least"][c]).alias(c) for c in ("d", "cluster", "raw")]) for r in least.collect()
+    ]
+    apart = F.col("norm") - 2 * F.col("dot")
+    lists = centres.groupBy("term").agg(F.collect_list(F.struct("run", "cluster", "centre")).alias("__at"))
+    met = lookup_join(entries, lists, "term", spread_by=["id"])
+    dots = (
+        met.select("id", "weight", F.inline("__at"))
+        .groupBy("id", "run", "cluster")
+        .agg(F.sum(F.col("weight") * F.col("centre")).alias("dot"))
+        .join(F.broadcast(norms), ["run", "cluster"])
+        .groupBy("id", "run")
+        .agg(F.min(F.struct(F.round(apart, 9).alias("d"), "cluster", apart.alias("raw"))).alias("near"))
+    )
+    own = entries.groupBy("id").agg(F.sum(F.col("weight") * F.col("weight")).alias("own"))
+    spread = ids.select("id", F.inline(F.array(*listed))).select("id", "run", F.struct("d", "cluster", "raw").alias("least"))
+    joined = spread.join(own, "id", "left").join(dots, ["id", "run"], "left")
+    nearest = F.least("least", F.coalesce("near", "least"))
+    return joined.select(
+        "run", "id", nearest["cluster"].alias("cluster"), (F.coalesce("own", F.lit(0.0)) + nearest["raw"]).alias("distance")
+    )
+
+
+def mean_centres(entries: DataFrame, assigned: DataFrame) -> DataFrame:
+    """(run, cluster, term, centre): the mean vectors of (run, id, cluster). Sums are made in every
+    task first, so a cluster with a third of the documents is an ordinary one."""
+    sizes = assigned.groupBy("run", "cluster").agg(F.count(F.lit(1)).alias("__n"))
+    sums = entries.join(assigned.select("run", "id", "cluster"), "id").groupBy("run", "cluster", "term")
+    sums = sums.agg(F.sum("weight").alias("__sum"))
+    means = sums.join(F.broadcast(sizes), ["run", "cluster"])  # k * runs rows
+    return means.select("run", "cluster", "term", (F.col("__sum") / F.col("__n")).alias("centre"))
+
+
+def sparse_kmeans(
+    entries: DataFrame, ids: DataFrame, k: int, runs: int = 10, seed: int = 42, rounds: int = 20
+) -> tuple[DataFrame, DataFrame]:
+    """(id, cluster, distance) and (cluster, term, centre) of the run with the least cost. All runs
+    go on together until no document of any run moves, or for ``rounds`` rounds."""
+    centres = cut_lineage(first_centres(entries, ids, k, runs, seed))
+    assigned = cut_lineage(assign_sparse(entries, ids, centres, k, runs))
+    for _ in range(rounds):
+        centres = cut_lineage(mean_centres(entries, assigned))
+        moved = cut_lineage(assign_sparse(entries, ids, centres, k, runs))
+        was = assigned.select("run", "id", F.col("cluster").alias("__was"))
+        settled = moved.join(was, ["run", "id"]).filter(F.col("cluster") != F.col("__was")).isEmpty()
+        assigned = moved
+        if settled:
+            break
+    best = assigned.groupBy("run").agg(F.round(F.sum("distance"), 9).alias("cost")).orderBy("cost", "run").first()
+    if best is None:
+        return assigned.drop("run"), centres.drop("run")
+    own = F.col("run") == best["run"]
+    return assigned.filter(own).drop("run"), centres.filter(own).drop("run")
+
+
+# --- what a regression's coefficients are worth --------------------------------------------------------------
+
+
+def regression_certificate(
+    entries: DataFrame, examples: DataFrame, coefficients: DataFrame, intercepts: DataFrame, penalty: float
+) -> DataFrame:
+    """One row (loss, gradient_norm, gradient_max, examples): the objective of a multinomial
+    regression and its gradient, at any coefficients.
+
+    ``entries`` (id, term, weight), ``examples`` (id, label, importance), ``coefficients`` (label,
+    term, coefficient), ``intercepts`` (label, intercept), one row per class. The loss is the mean of
+    the weighted negative log-likelihoods plus ``penalty / 2`` times the squared coefficients. The
+    objective is convex, so a gradient of zero proves the coefficients best. All sums run over the
+    entries that exist; no dense row is ever made.
+    """
+    met = entries.join(coefficients, "term").groupBy("id", "label")
+    scored = met.agg(F.sum(F.col("weight") * F.col("coefficient")).alias("score"))
+    # one entry per class, listed in every example's row
+    classes = [F.struct(F.lit(r["label"]).alias("label"), F.lit(float(r["intercept"])).alias("intercept")) for r in intercepts.collect()]
+    gold = examples.select("id", F.col("label").alias("gold"), "importance", F.inline(F.array(*classes)))
+    margins = (
+        gold.join(scored, ["id", "label"], "left")
+        .withColumn("margin", F.col("intercept") + F.coalesce("score", F.lit(0.0)))
+    )
+    # the largest margin is taken out before the exponentials, as usual
+    tops = margins.groupBy("id").agg(F.max("margin").alias("top"))
+    raised = margins.join(tops, "id").withColumn("e", F.exp(F.col("margin") - F.col("top")))
+    sums = raised.groupBy("id").agg(F.sum("e").alias("total"))
+    likely = cut_lineage(
+        raised.join(sums, "id").select(
+            "id",
+            "label",
+            "importance",
+            (F.col("label") == F.col("gold")).alias("own"),
+            (F.col("e") / F.col("total")).alias("p"),
+            (F.log("total") + F.col("top") - F.col("margin")).alias("surprise"),
+        )
+    )
+    residual = F.col("importance") * (F.col("p") - F.col("own").cast("double"))
+    data = likely.filter("own").agg(
+        F.sum(F.col("importance") * F.col("surprise")).alias("lost"), F.sum("importance").alias("all"), F.count(F.lit(1)).alias("examples")
+    )
+    whole = data.first()
+    total = float(whole["all"] or 1.0)
+    slopes = entries.join(likely.select("id", "label", residual.alias("r")), "id").groupBy("label", "term")
+    slopes = slopes.agg((F.sum(F.col("r") * F.col("weight")) / total).alias("slope"))
+    both = slopes.join(coefficients, ["label", "term"], "full").select(
+        (F.coalesce("slope", F.lit(0.0)) + penalty * F.coalesce("coefficient", F.lit(0.0))).alias("g"),
+        F.coalesce("coefficient", F.lit(0.0)).alias("c"),
+    )
+    level = likely.groupBy("label").agg((F.sum(residual) / total).alias("g")).select("g", F.lit(0.0).alias("c"))
+    summed = both.unionByName(level).agg(
+        F.sqrt(F.sum(F.col("g") * F.col("g"))).alias("gradient_norm"),
+        F.max(F.abs("g")).alias("gradient_max"),
+        F.sum(F.col("c") * F.col("c")).alias("squares"),
+    )
+    loss = F.lit(float(whole["lost"] or 0.0) / total) + penalty / 2 * F.coalesce("squares", F.lit(0.0))
+    return summed.select(loss.alias("loss"), "gradient_norm", "gradient_max", F.lit(whole["examples"]).cast("long").alias("examples"))
+
+
 # --- the same reports for any assignment of rows to clusters ------------------------------------------------
 
 
