@@ -10,7 +10,9 @@ cascade gets more levels, not less exact ones.
 
 Defined results: a null url or one without ``://`` has empty host and path and no rule; a null
 page_id is handed on; repeated rows are judged one by one; an empty table or rule list works;
-other columns are ignored. Of two fitting rules of one length, the one with the longer host wins.
+other columns are ignored. Of two fitting rules of one length, the one with the longer host wins. A
+key that is listed with both verdicts is allowed, in whatever order it comes. Hosts of urls are in
+lower case, so a rule host with capitals fits nothing; rules of any other verdict say nothing.
 """
 
 from __future__ import annotations

@@ -40,6 +40,15 @@ def test_no_rules_and_no_pages(spark):
     assert judge_urls(pages.filter("false"), rules).count() == 0
 
 
+def test_clashing_and_odd_rules(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/x"), (2, "http://B.com/")], "page_id bigint, url string")
+    clash = [("a.com", "/", "block"), ("a.com", "/", "allow")]
+    for listed in (clash, clash[::-1]):
+        rules = spark.createDataFrame([*listed, ("B.com", "/", "block"), ("b.com", "", "maybe")], "host string, path string, verdict string")
+        got = sorted((r["page_id"], r["rule"], r["verdict"]) for r in judge_urls(pages, rules, default="block").collect())
+        assert got == [(1, "a.com/", "allow"), (2, None, "block")]
+
+
 def test_cascade_is_exact_however_small_its_filters(spark):
     keys = [f"k{i}" for i in range(600)]
     frame = spark.createDataFrame([(k,) for k in keys], "key string")
