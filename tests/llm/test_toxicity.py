@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -41,6 +42,46 @@ def test_held_out_rows_are_told_apart(make, monkeypatch):
     assert toxicity.score_documents(make([]), scorer).count() == 0
 
 
+def plain_logit(weights, gates, ids):
+    """One window, number by number: two gated recurrent passes, attention over the tokens that are
+    no padding, one output."""
+    n, padding = gru.HIDDEN, len(gates[0][0]) - 1
+    logistic = lambda x: 1 / (1 + math.exp(-x))
+
+    def passed(side, order):
+        h, out = [0.0] * n, []
+        for i in order:
+            z, r, c = ([float(g[side][i][k]) for k in range(n)] for g in gates)
+            z, r = ([logistic(own[k] + sum(h[j] * float(weights[name][side][j][k]) for j in range(n))) for k in range(n)]
+                    for own, name in ((z, "z_state"), (r, "r_state")))
+            c = [math.tanh(c[k] + sum(r[j] * h[j] * float(weights["c_state"][side][j][k]) for j in range(n))) for k in range(n)]
+            h = [h[k] + z[k] * (c[k] - h[k]) for k in range(n)]
+            out.append(h)
+        return out
+
+    ahead, back = passed(0, ids), passed(1, ids[::-1])[::-1]
+    both = [a + b for a, b in zip(ahead, back)]
+    energies = []
+    for state in both:
+        hidden = [math.tanh(float(weights["attend_bias"][k]) + sum(x * float(weights["attend"][j][k]) for j, x in enumerate(state))) for k in range(n)]
+        energies.append(sum(x * float(w) for x, w in zip(hidden, weights["attend_out"])))
+    shares = [math.exp(e) if i != padding else 0.0 for e, i in zip(energies, ids)]
+    pooled = [sum(s * state[j] for s, state in zip(shares, both)) / sum(shares) for j in range(2 * n)]
+    return float(weights["out_bias"][0]) + sum(x * float(w) for x, w in zip(pooled, weights["out"]))
+
+
+def test_forward_equals_plain_loops():
+    rng = np.random.default_rng(4)
+    model = gru.Model.fresh(np.zeros(0, np.uint64), 2)
+    model.weights["attend_bias"] += rng.normal(size=gru.HIDDEN).astype(np.float32)
+    model.weights["out_bias"] += np.float32(0.3)
+    gates = [rng.normal(size=(2, 6, gru.HIDDEN)).astype(np.float32) for _ in range(3)]
+    ids = np.array([[0, 3, 1, 4], [2, 2, 5, 5], [4, 5, 5, 5]])  # 5 is padding
+    logits, _ = model.forward([g.copy() for g in gates], ids)
+    want = [plain_logit(model.weights, gates, row.tolist()) for row in ids]
+    assert np.allclose(logits, want, atol=1e-4)
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(0)
     texts = ["one two three idiot four", "five six one"]
