@@ -20,8 +20,8 @@ from deskloom.operators import leakage, learning, metrics, profile, retrieval, r
 from deskloom.plans import evaluation, indexing, triage as tri
 from deskloom.session import checkpoint_dir, configure, cut_lineage
 from deskloom.sources import index_store, parsing, sinks
-from deskloom.sources.tables import messages_from_turns, read_messages, read_table, spread
-from deskloom.streaming import streams
+from deskloom.sources.tables import messages_from_turns, read_messages, read_sheet, read_table, sheet, spread
+from deskloom.streaming import ingest, streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1117,6 +1117,65 @@ def scan_messages(spark, sf):
     )
 
 
+def through_sheet(spark, df, kind):
+    """Written as CSV in another order of columns, then read as a sheet of its kind."""
+    path = scratch(spark)
+    whole = sheet(df, kind)
+    sinks.write_csv(whole.select(*reversed(whole.columns)), path)
+    return read_sheet(spark, path, kind)
+
+
+@query("golden_sheet", FINAL + " select doc_id, prelabel_intent, final_intent, intent_confidence, annotation_status from g")
+def golden_sheet(spark, sf):
+    golden = through_sheet(spark, final_labels(spark, sf).withColumnRenamed("doc_id", "case_id"), "golden")
+    return golden.select(
+        F.col("case_id").cast("long").alias("doc_id"), "prelabel_intent", "final_intent", "intent_confidence", "annotation_status"
+    )
+
+
+@query("evidence_sheet", ORACLES["evidence_rates"])
+def evidence_sheet(spark, sf):
+    """The rates of an annotated sheet that is read back."""
+    out = metrics.evidence_rates(through_sheet(spark, judged_evidence(spark, sf), "evidence"))
+    return out.select("judgement", *[r6(c).alias(c) for c in ("top1", "top3", "gain")])
+
+
+@query("prediction_sheet", ORACLES["decision_crosstab"])
+def prediction_sheet(spark, sf):
+    return metrics.decision_crosstab(through_sheet(spark, agent_predictions(spark, sf), "predictions"))
+
+
+@query("score_sheet", ORACLES["judge_parse"])
+def score_sheet(spark, sf):
+    """Parsed answers of a judge, kept as a sheet; a row without scores stays one."""
+    scored = QUERIES["judge_parse"](spark, sf).withColumnRenamed("event_id", "case_id")
+    read = through_sheet(spark, scored, "scores")
+    return read.select(F.col("case_id").cast("long").alias("event_id"), "relevance", "tone", "overall_acceptable", "reason")
+
+
+STREAM_FILES = 4
+
+
+@query("stream_pairs", f"with {sql.PAIRS} select * from pairs")
+def stream_pairs(spark, sf):
+    """Messages delivered in files dealt by a hash, so that replies come before their parents, and
+    paired as they arrive."""
+    path = scratch(spark)
+    sent = messages(spark, sf).select(
+        F.col("message_id").alias("tweet_id"),
+        "author_id",
+        F.col("inbound").cast("string").alias("inbound"),
+        F.lit(None).cast("string").alias("created_at"),
+        "text",
+        F.lit(None).cast("string").alias("response_tweet_id"),
+        F.col("parent_id").alias("in_response_to_tweet_id"),
+    )
+    sinks.write_csv(sent.repartition(STREAM_FILES, F.crc32(F.col("tweet_id").cast("binary")) % STREAM_FILES), f"{path}/in")
+    arriving = ingest.arriving_messages(spark, f"{path}/in", 1)
+    ingest.start_ingest(arriving, f"{path}/table", f"{path}/state", prose.BRAND).awaitTermination()
+    return ingest.MessageTable(spark, f"{path}/table", prose.BRAND).pairs()
+
+
 # === clusters and models ==========================================================================================
 
 

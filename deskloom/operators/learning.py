@@ -87,7 +87,7 @@ def train_intent_model(
     """Class-balanced multinomial regression on TF-IDF; returns the model and
     (id, gold, predicted) for ``test``."""
     spec = spec or TfidfSpec(profile="lower", max_df=0.95, max_features=None)
-    plain = lambda df: df.withColumn("__plain", tx.strip_accents(F.col(text_col)))
+    plain = lambda df: df.withColumn("__plain", tx.strip_accents(F.col(text_col), "unicode"))
     both = plain(train).select(id_col, "__plain").unionByName(plain(test).select(id_col, "__plain"))
     features, _, _ = sparse_features(both, plain(train).select(id_col, "__plain"), spec, id_col, "__plain")
     features = cut_lineage(features.withColumnRenamed("doc_id", id_col))

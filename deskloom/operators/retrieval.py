@@ -62,15 +62,17 @@ def retrieve(
     text_col: str = "customer_text",
     part_col: str = "intent",
     pair_budget: int = PAIR_BUDGET,
+    min_chars: int = 0,
 ) -> DataFrame:
     """(query_id, part, rank_no, case_id, similarity): k most similar cases per query.
 
-    Only cases that share a term with the query appear. Ties go to the smaller case id.
+    Only cases that share a term with the query appear, and none for a query of fewer than
+    ``min_chars`` cleaned characters. Ties go to the smaller case id.
     Queries with the same vector are answered once. The number of rows a plain join would
     make is read off the vocabulary first; beyond ``pair_budget`` the shards of the index are
     searched, which returns the same rows.
     """
-    distinct, owners, postings = vectorize_queries(queries, index, id_col, text_col, part_col)
+    distinct, owners, postings = vectorize_queries(queries, index, id_col, text_col, part_col, min_chars)
     best = cut_lineage(_nearest_vectors(distinct, index, k, postings, pair_budget))
     # a vector without copies is its own case; of a vector with copies no later one can be among the
     # first k: each task passes on k of them at most

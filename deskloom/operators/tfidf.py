@@ -400,14 +400,16 @@ def merge_cases(
 
 
 def vectorize_queries(
-    queries: DataFrame, index: TfidfIndex, id_col: str, text_col: str, part_col: str
+    queries: DataFrame, index: TfidfIndex, id_col: str, text_col: str, part_col: str, min_chars: int = 0
 ) -> tuple[DataFrame, DataFrame, int]:
-    """Queries in the index's space.
+    """Queries in the index's space; those with fewer than ``min_chars`` cleaned characters ask nothing.
 
     Returns ``(distinct, owners, postings)``: distinct(part, q_key, vec) once per distinct query
     vector, owners(query_id, part, q_key) to bring results back to queries, and an upper bound of
     the (query vector, case, term) rows a plain join would make.
     """
+    if min_chars > 0:
+        queries = queries.filter(F.length(tx.clean(F.col(text_col), index.spec.profile)) >= min_chars)
     words = words_table(queries, index.spec, id_col, text_col, part_col)
     weighed = cut_lineage(weigh(words, index.vocab, index.small_vocab, index.spec))
     owners = weighed.select(F.col("doc_id").alias("query_id"), "part", F.col("key").alias("q_key"))

@@ -45,6 +45,27 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     )
 
 
+#: The tables that people and judges fill in, by kind.
+SHEETS = {"golden": GOLDEN_SCHEMA, "evidence": EVIDENCE_SCHEMA, "predictions": PREDICTION_SCHEMA, "scores": SCORE_SCHEMA}
+
+
+def sheet(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` in the columns of a kind of sheet, in their order; a column it lacks is left blank."""
+    fields = T.StructType.fromDDL(SHEETS[kind])
+    held = {c: F.col(c) for c in df.columns}
+    return df.select(*[held.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def read_sheet(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """A golden, evidence, prediction or score table, as CSV or parquet. Columns of a CSV are taken
+    by name, whatever their order, and all must be there."""
+    if path.rstrip("/").endswith(".parquet"):
+        return sheet(require_columns(read_table(spark, path), T.StructType.fromDDL(SHEETS[kind]).names), kind)
+    names = spark.read.option("header", True).csv(path).columns  # the header alone
+    text = T.StructType([T.StructField(n.lstrip("\ufeff"), T.StringType()) for n in names])
+    return sheet(require_columns(read_table(spark, path, text), T.StructType.fromDDL(SHEETS[kind]).names), kind)
+
+
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return typed_messages(read_table(spark, path, MESSAGE_SCHEMA))
 

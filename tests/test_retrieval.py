@@ -125,6 +125,13 @@ def test_a_floor_spares_postings(monkeypatch):
     assert set(places.tolist()) <= set(range(20)) and shard.read < 3000
 
 
+def test_short_queries_ask_nothing(spark, built):
+    index = built[4]
+    asked = spark.createDataFrame([(1, "A", " @x w1! "), (2, "A", "w1 w"), (3, "A", "slow")], "query_id long, intent string, customer_text string")
+    found = lambda n: {r.query_id for r in retrieval.retrieve(asked, index, 2, min_chars=n).collect()}
+    assert (found(0), found(3), found(5)) == ({1, 2, 3}, {2, 3}, set())
+
+
 def test_a_hot_query_vector_is_salted(built, monkeypatch):
     cases, queries, _, asked, index = built
     plain = retrieval._owner_join
