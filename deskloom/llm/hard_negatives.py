@@ -1,7 +1,7 @@
 """Hard negatives by a secondary-sort shuffle.
 
 Anchors meet all rows in blocks: a block of anchors is multiplied with a block of rows, and a pair
-that may matter becomes one packed key of 25 bytes (anchor, descending score, kind, id) whose byte
+that may matter becomes one packed key of 29 bytes (anchor, descending score, kind, id) whose byte
 order is the order wanted. ``repartitionAndSortWithinPartitions`` deals the keys by anchor and
 sorts them, and one iterator per partition streams over them: a positive opens a window of scores,
 each negative that arrives is emitted for every open window it falls into, and a window closes when
@@ -14,7 +14,8 @@ of the block can be among the first of all. So the shuffle carries a bounded num
 
 Defined results: rows with a null id, label or vector or a null or non-finite component take no
 part; shorter vectors count as padded with zeros; a repeated row counts once; an anchor's own id is
-neither its positive nor its negative; ties go to the smaller id; anchors without a positive, and
+neither its positive nor its negative; rows of one id with different labels or vectors are anchors
+of their own, told apart by a number inside the key; ties go to the smaller id; anchors without a positive, and
 positives without a negative in their window, have no row; empty tables give an empty result; other
 columns are ignored. A positive comes before negatives of equal score, so a window that holds its
 own positive's score misses nothing. Components beyond the exact range are refused.
@@ -29,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskloom.llm.common import pick
@@ -53,14 +54,14 @@ class Windows:
     high: int = 90
 
 
-def pack(anchor: int, score: int, negative: bool, other: int) -> bytes:
+def pack(anchor: int, variant: int, score: int, negative: bool, other: int) -> bytes:
     """A key whose byte order is anchor, descending score, positives first, id."""
-    return struct.pack(">QQBQ", anchor + BIAS, BIAS - 1 - score, negative, other + BIAS)
+    return struct.pack(">QIQBQ", anchor + BIAS, variant, BIAS - 1 - score, negative, other + BIAS)
 
 
-def unpack_key(key: bytes) -> tuple[int, int, bool, int]:
-    anchor, score, negative, other = struct.unpack(">QQBQ", key)
-    return anchor - BIAS, BIAS - 1 - score, bool(negative), other - BIAS
+def unpack_key(key: bytes) -> tuple[int, int, int, bool, int]:
+    anchor, variant, score, negative, other = struct.unpack(">QIQBQ", key)
+    return anchor - BIAS, variant, BIAS - 1 - score, bool(negative), other - BIAS
 
 
 def stream_windows(keys: Iterator[bytes], spec: Windows) -> Iterator[tuple[int, int, int, int, int, int]]:
@@ -68,9 +69,9 @@ def stream_windows(keys: Iterator[bytes], spec: Windows) -> Iterator[tuple[int,
     current, opened = None, []
     seen = 0
     for key in keys:
-        anchor, score, negative, other = unpack_key(key)
-        if anchor != current:
-            current, opened, seen = anchor, [], 0
+        anchor, variant, score, negative, other = unpack_key(key)
+        if (anchor, variant) != current:
+            current, opened, seen = (anchor, variant), [], 0
         if not negative:
             if seen < spec.n_positives:
                 seen += 1
@@ -107,27 +108,28 @@ def _blocked(rows: DataFrame, anchors: DataFrame, per_block: int, per_anchors: i
 
 
 def _positives(rows: DataFrame, anchors: DataFrame, dims: int, spec: Windows, per_block: int, per_anchors: int) -> DataFrame:
-    """(anchor_id, positive_id, positive_score): the first rows of the anchor's label."""
+    """(anchor_id, variant, positive_id, positive_score): the first rows of the anchor's label."""
 
     def score(held: pa.Table, asked: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple[int, int, int, int]] = []
         if held.num_rows and asked.num_rows:
             ids, labels = np.asarray(held["vec_id"]), np.asarray(held["label"])
             by_label = {label: np.flatnonzero(labels == label) for label in np.unique(labels).tolist()}
             scores = matrix(asked["vec"].combine_chunks(), dims) @ matrix(held["vec"].combine_chunks(), dims).T
-            for i, (anchor, label) in enumerate(zip(asked["vec_id"].to_pylist(), asked["label"].to_pylist())):
+            columns = (asked[c].to_pylist() for c in ("vec_id", "variant", "label"))
+            for i, (anchor, variant, label) in enumerate(zip(*columns)):
                 same = by_label.get(label)
                 if same is not None:
                     same = same[ids[same] != anchor]
                     best = _first(scores[i], ids, same, spec.n_positives)
-                    out += [(anchor, int(ids[j]), int(scores[i, j])) for j in best]
-        names = ["anchor_id", "positive_id", "positive_score"]
+                    out += [(anchor, variant, int(ids[j]), int(scores[i, j])) for j in best]
+        names = ["anchor_id", "variant", "positive_id", "positive_score"]
         return pa.table({c: pa.array([x[n] for x in out], pa.int64()) for n, c in enumerate(names)})
 
     found = _blocked(rows, anchors, per_block, per_anchors).applyInArrow(
-        score, "anchor_id bigint, positive_id bigint, positive_score bigint"
+        score, "anchor_id bigint, variant bigint, positive_id bigint, positive_score bigint"
     )
-    return top_within(found, ["anchor_id"], [F.col("positive_score").desc(), F.col("positive_id")], spec.n_positives)
+    return top_within(found, ["anchor_id", "variant"], [F.col("positive_score").desc(), F.col("positive_id")], spec.n_positives)
 
 
 def _candidates(rows: DataFrame, anchors: DataFrame, dims: int, spec: Windows, per_block: int, per_anchors: int) -> DataFrame:
@@ -139,15 +141,15 @@ def _candidates(rows: DataFrame, anchors: DataFrame, dims: int, spec: Windows, p
         if held.num_rows and asked.num_rows:
             ids, labels = np.asarray(held["vec_id"]), np.asarray(held["label"])
             scores = matrix(asked["vec"].combine_chunks(), dims) @ matrix(held["vec"].combine_chunks(), dims).T
-            columns = (asked[c].to_pylist() for c in ("vec_id", "label", "positives"))
-            for i, (anchor, label, positives) in enumerate(zip(*columns)):
+            columns = (asked[c].to_pylist() for c in ("vec_id", "variant", "label", "positives"))
+            for i, (anchor, variant, label, positives) in enumerate(zip(*columns)):
                 own = scores[i]
                 other = (labels != label) & (ids != anchor)
                 chosen: set[int] = set()
                 for positive in set(positives):
                     fits = other & (100 * own >= spec.low * positive) & (100 * own <= spec.high * positive)
                     chosen.update(_first(own, ids, np.flatnonzero(fits), spec.n_negatives).tolist())
-                out += [pack(anchor, int(own[j]), True, int(ids[j])) for j in chosen]
+                out += [pack(anchor, variant, int(own[j]), True, int(ids[j])) for j in chosen]
         return pa.table({"key": pa.array(out, pa.binary())})
 
     return _blocked(rows, anchors, per_block, per_anchors).applyInArrow(score, "key binary")
@@ -172,16 +174,19 @@ def hard_negatives(
     rows = source.select(F.col("vec_id").cast("long").alias("vec_id"), "label", floored(F.col("vec"), scale).alias("vec"))
     rows = cut_lineage(rows.dropDuplicates())
     _, dims, _ = measure(rows, "vec")
-    anchors = cut_lineage(rows.filter(is_anchor))
+    variant = F.row_number().over(Window.partitionBy("vec_id").orderBy("label", "vec")) - 1
+    anchors = cut_lineage(rows.filter(is_anchor).withColumn("variant", variant.cast("long")))
     positives = cut_lineage(_positives(rows, anchors, dims, spec, per_block, per_anchors))
-    scores = positives.groupBy("anchor_id").agg(F.collect_list("positive_score").alias("positives"))
-    asked = cut_lineage(anchors.join(scores.withColumnRenamed("anchor_id", "vec_id"), "vec_id"))
+    scores = positives.groupBy("anchor_id", "variant").agg(F.collect_list("positive_score").alias("positives"))
+    asked = cut_lineage(anchors.join(scores.withColumnRenamed("anchor_id", "vec_id"), ["vec_id", "variant"]))
     negatives = _candidates(rows, asked, dims, spec, per_block, per_anchors)
 
-    opened = positives.rdd.map(lambda r: (pack(r["anchor_id"], r["positive_score"], False, r["positive_id"]), None))
+    opened = positives.rdd.map(
+        lambda r: (pack(r["anchor_id"], r["variant"], r["positive_score"], False, r["positive_id"]), None)
+    )
     pairs = opened.union(negatives.rdd.map(lambda r: (bytes(r["key"]), None)))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # the anchor alone decides the partition, the whole key the order in it
-    dealt = pairs.repartitionAndSortWithinPartitions(parts, lambda key: zlib.crc32(key[:8]))
+    dealt = pairs.repartitionAndSortWithinPartitions(parts, lambda key: zlib.crc32(key[:12]))
     mined = dealt.mapPartitions(lambda held: stream_windows((key for key, _ in held), spec))
     return spark.createDataFrame(mined, RESULT, verifySchema=False)
