@@ -1318,10 +1318,15 @@ def intent_lr(spark, sf):
 # === streams =======================================================================================================
 
 
+def arriving_table(spark, sf, name):
+    """A table as a stream of its files, be it one file or a folder of them. A plain path would have
+    to be a folder; a pattern may be either."""
+    return streams.arriving_files(spark, f"{sf}/{name}.parque[t]", table(spark, sf, name).schema)
+
+
 @query("stream_author_counts", "select user_id, count(*)::bigint as messages from events group by user_id")
 def stream_author_counts(spark, sf):
-    schema = table(spark, sf, "events").schema
-    arriving = streams.arriving_files(spark, sf, schema, name_glob="events.parquet")
+    arriving = arriving_table(spark, sf, "events")
     path = scratch(spark)
     streams.start_counts(streams.running_counts(arriving, "user_id"), path, f"{path}_state").awaitTermination()
     return streams.latest_counts(spark, path, ["user_id"])
@@ -1330,7 +1335,7 @@ def stream_author_counts(spark, sf):
 @query("stream_triage", f"with {sql.decisions()} {DECIDED}")
 def stream_triage(spark, sf):
     cases, index = case_index(spark, sf)
-    arriving = streams.arriving_files(spark, sf, table(spark, sf, "documents").schema, name_glob="documents.parquet").select(
+    arriving = arriving_table(spark, sf, "documents").select(
         F.col("doc_id").alias("query_id"), F.col("text").alias("customer_text")
     )
     path = scratch(spark)

@@ -94,3 +94,17 @@ def test_a_stream_that_runs_on_drops_repeats(spark, tmp_path):
         assert sorted(r["message_id"] for r in spark.read.parquet(path).collect()) == [1, 2, 3]
     finally:
         query.stop()
+
+
+def test_a_streamed_table_may_be_one_file_or_a_folder(spark, tmp_path):
+    """The registered streams read a table that is a single file as well as one of many part files."""
+    import __spark_entry__ as entry
+
+    rows = [(i, i % 3) for i in range(12)]
+    frame = spark.createDataFrame(rows, "event_id long, user_id long")
+    frame.repartition(3).write.parquet(str(tmp_path / "many" / "events.parquet"))
+    (tmp_path / "one").mkdir()
+    frame.toPandas().to_parquet(tmp_path / "one" / "events.parquet")
+    for folder in ("many", "one"):
+        got = entry.queries()["stream_author_counts"](spark, str(tmp_path / folder)).collect()
+        assert sorted((r["user_id"], r["messages"]) for r in got) == [(0, 4), (1, 4), (2, 4)]
