@@ -260,3 +260,36 @@ def test_every_copy_is_a_member_and_any_k_is_answered(spark):
     asked = spark.createDataFrame([(1, "red router light", "a")], "query_id int, customer_text string, intent string")
     hits = retrieval.retrieve(asked, index, 140).orderBy("rank_no").collect()
     assert [r.case_id for r in hits] == list(range(140))
+
+
+def test_words_are_worked_on_a_piece_at_a_time(monkeypatch):
+    """A batch is cut between documents, whatever their lengths; blank ones and long ones stay whole."""
+    lengths = [3, 0, 4, 25, None, 2, 2, 9, 1, 0]
+    words = pa.array([None if n is None else ["w"] * n for n in lengths], pa.list_(pa.string()))
+    batch = pa.RecordBatch.from_arrays([pa.array([f"p{i % 2}" for i in range(10)]), pa.array(range(10)), words], ["part", "doc_id", "words"])
+    monkeypatch.setattr(tfidf, "WORDS_AT_ONCE", 10)
+    found = [(part, rows["doc_id"].to_pylist(), sum(n or 0 for n in rows["words"].value_lengths().to_pylist())) for part, rows in tfidf._by_part(batch)]
+    assert sorted(d for part, docs, _ in found for d in docs if part == f"p{d % 2}") == list(range(10))
+    assert all(n <= 10 + max(lengths[d] or 0 for d in docs) for _, docs, n in found) and len(found) > 4
+    assert list(tfidf._by_part(batch.slice(0, 0))) == []
+
+
+def test_one_task_holds_a_pile_of_shards(spark, built, monkeypatch):
+    """A query that comes more than once is answered once, and by a pile of shards with its k best
+    (and what ties with them), not with k of every shard."""
+    cases, queries, _, asked, index = built
+    weighed, _, _ = tfidf.weigh_queries(asked, index, "query_id", "customer_text", "intent")
+    twice = weighed.unionByName(weighed).withColumnRenamed("key", "q_key")
+    shards = blocks.shards_of(index.vectors, 3).cache()
+    piles = {r["part"]: r["shards"] for r in shards.select("part", "shards").distinct().collect()}
+    assert min(piles.values()) > 4
+    for size in (100, 4):
+        monkeypatch.setattr(blocks, "SHARDS_PER_TASK", size)
+        rows = blocks.best_vectors(twice, shards, 1).collect()
+        assert len({(r.part, r.q_key, r.vec_id) for r in rows}) == len(rows)
+        best = {}
+        for r in rows:
+            best.setdefault((r.part, r.q_key), []).append(round(r.score, 9))
+        tied = all(len(set(scores)) == 1 for scores in best.values())
+        assert tied if size == 100 else all(len(set(s)) <= -(-piles[p] // 4) for (p, _), s in best.items())
+    shards.unpersist()
