@@ -25,16 +25,17 @@ BROADCAST_SHINGLES = 2_000_000
 
 
 def shingles(cleaned: Column, words: int) -> Column:
-    """Distinct 64-bit hashes of the runs of ``words`` words of a cleaned text. Neighbours are joined
-    by walking shifted arrays side by side, so the time is linear in the text."""
-    parts = F.split(cleaned, " ")
-    runs = parts
-    for ahead in range(1, words):
-        shifted = F.slice(parts, F.lit(ahead + 1), F.greatest(F.size(parts), F.lit(1)))
-        runs = F.array_compact(
-            F.zip_with(runs, shifted, lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit(" "), b)))
+    """Distinct 64-bit hashes of the runs of ``words`` words of a cleaned text. The words are bound to a
+    lambda's name, so that a text is split once, and a run is hashed word by word without being joined."""
+
+    def runs(parts: Column) -> Column:
+        last = F.size(parts) - words
+        hashes = F.transform(
+            F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(*[F.get(parts, i + j) for j in range(words)])
         )
-    return F.array_distinct(F.transform(runs, lambda r: F.xxhash64(r)))
+        return F.when(last >= 0, hashes).otherwise(F.array().cast("array<bigint>"))
+
+    return F.array_distinct(F.get(F.transform(F.array(F.split(cleaned, " ")), runs), F.lit(0)))
 
 
 def _cleaned(df: DataFrame, text_col: str) -> DataFrame:
@@ -90,6 +91,7 @@ def containment_report(
     the smallest id among them."""
     asked = _cleaned(queries.select(F.col(query_id), F.col(query_text).alias("__raw")), "__raw").filter("__key IS NOT NULL")
     held = _cleaned(corpus.select(F.col(case_id), F.col(case_text).alias("__raw")), "__raw").filter("__key IS NOT NULL")
+    held = cut_lineage(held.drop("__raw"))  # read several times, cleaned once
     pairs = _occurrences(asked, held, words)
     rows = held.groupBy("__key").agg(F.count(F.lit(1)).alias("copies"), F.min(case_id).alias("first_case"))
     counted = (
@@ -106,6 +108,6 @@ def without_contained(
     """The corpus rows that leak none of the queries: the guard for an index that is going to be
     evaluated with them. Rows without any kept character leak nothing and stay."""
     asked = _cleaned(queries.select(F.col(query_text).alias("__raw")), "__raw").filter("__key IS NOT NULL")
-    held = _cleaned(corpus, case_text)
+    held = cut_lineage(_cleaned(corpus, case_text))  # read several times, cleaned once
     leaking = _occurrences(asked, held.filter("__key IS NOT NULL").select("__key", "__text"), words).select("__key").distinct()
     return held.join(leaking, "__key", "left_anti").drop("__key", "__text")

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from deskloom.operators import leakage
 from deskloom.operators.leakage import containment_report, without_contained
@@ -79,3 +80,16 @@ def test_long_texts_and_no_rows(spark):
     assert sorted(r["case_id"] for r in without_contained(held, only, "t", "q").collect()) == [2]
     assert containment_report(queries, held.limit(0), "query_id", "q", "case_id", "t").count() == 0
     assert without_contained(held, queries.limit(0), "t", "q").count() == 3
+
+
+def test_a_corpus_is_cleaned_once(spark):
+    """What is left of a corpus is read from the cleaned table, not cleaned anew for every pass."""
+    texts = ["One, two three four five six!", "two three four", "", None, "other words here"]
+    corpus = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    asked = spark.createDataFrame([("two THREE four five six",), ("Other words... here",)], "text string")
+    left = leakage.without_contained(corpus, asked, "text", "text")
+    assert "regexp_replace" not in left._jdf.queryExecution().toString()
+    assert sorted(r["id"] for r in left.collect()) == [1, 2, 3]
+    runs = spark.createDataFrame([("a b c d e f",), ("a b c d e",), ("a b",), ("",), (None,)], "t string")
+    found = [r["h"] for r in runs.select(leakage.shingles(F.col("t"), 5).alias("h")).collect()]
+    assert [len(h or []) for h in found] == [2, 1, 0, 0, 0] and found[1][0] == found[0][0]
