@@ -94,3 +94,23 @@ def test_the_fitted_regression_has_no_gradient(spark):
     off = learning.regression_certificate(entries, examples, given.withColumn("coefficient", F.col("coefficient") + 0.1), level, 1 / 60).first()
     assert at["gradient_max"] < 1e-4 < off["gradient_max"] and at["loss"] < off["loss"] and at["examples"] == 60
     assert abs(at["loss"] - model.summary.objectiveHistory[-1]) < 1e-6
+
+
+def test_a_wide_regression_equals_the_estimator_s(spark, monkeypatch):
+    rng = random.Random(5)
+    words = {"a": ["red", "light", "router"], "b": ["bill", "paid", "late"], "c": ["tv", "box", "film"]}
+    rows = [(i, label, " ".join(rng.choice(words[label]) if rng.random() < 0.5 else rng.choice(sum(words.values(), [])) for _ in range(6)))
+            for i in range(90) for label in [rng.choice("abbc")]]
+    docs = spark.createDataFrame([*rows, (90, "a", None), (91, "b", "unknown")], "id int, label string, text string").repartition(3)
+    train, test = docs.filter("id % 3 > 0"), docs.filter("id % 3 = 0")
+    spec = TfidfSpec(profile="lower", max_features=None)
+    narrow, want = learning.train_intent_model(train, test, "id", "text", "label", spec)
+    monkeypatch.setattr(learning, "DRIVER_COEFFICIENTS", 10)
+    wide, got = learning.train_intent_model(train, test, "id", "text", "label", spec)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert isinstance(wide, learning.WideRegression) and wide.gap <= 1e-6
+    assert wide.losses[-1] == pytest.approx(narrow.summary.objectiveHistory[-1], rel=2e-5)
+    matrix = narrow.coefficientMatrix.toArray()
+    found = {(r["label"], r["position"]): r["coefficient"] for r in wide.coefficients.collect()}
+    assert max(abs(matrix["abc".index(label), j] - x) for (label, j), x in found.items()) < 0.02
+    assert len(found) == matrix.size
