@@ -1,3 +1,4 @@
+import math
 import random
 from collections import defaultdict
 
@@ -114,3 +115,31 @@ def test_a_wide_regression_equals_the_estimator_s(spark, monkeypatch):
     found = {(r["label"], r["position"]): r["coefficient"] for r in wide.coefficients.collect()}
     assert max(abs(matrix["abc".index(label), j] - x) for (label, j), x in found.items()) < 0.02
     assert len(found) == matrix.size
+
+
+def test_cluster_features_are_counted_without_the_estimators(spark, monkeypatch):
+    from pyspark.ml import feature
+
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice(["red", "The", "router", "bill", "#late", "paid", "box"]) for _ in range(rng.randint(3, 9))) for _ in range(40)]
+    texts += ["short", None, texts[0], "unknown words only here", "every " * 4]
+    docs = spark.createDataFrame([(i % 43, t) for i, t in enumerate(texts)], "id int, text string").repartition(3)
+    monkeypatch.setattr(feature.CountVectorizer, "fit", lambda *a: pytest.fail("texts are tokenised once more"))
+    model, out, terms = learning.cluster_messages(docs, "id", "text", k=2, restarts=1, stop_words=["the"])
+    kept = [t.lower().replace("#", "") for t in texts if t and len(t.strip()) >= 10]
+    bags = []
+    for words in ([w for w in t.split() if w != "the"] for t in kept):
+        bags.append(words + [f"{a} {b}" for a, b in zip(words, words[1:])])
+    df = {t: sum(t in b for b in bags) for b in bags for t in b}
+    known = {t for t in df if 5 <= df[t] <= 0.9 * len(kept)}
+    assert set(terms) == known and len(terms) == len(known) == len(model.clusterCenters()[0])
+    totals = [sum(b.count(t) for b in bags) for t in terms]
+    assert totals == sorted(totals, reverse=True)
+    want = []
+    for text, bag in zip(kept, bags):
+        raw = {t: bag.count(t) * (math.log((len(kept) + 1) / (df[t] + 1)) + 1) for t in set(bag) & known}
+        size = sum(x * x for x in raw.values()) ** 0.5
+        want.append((text, sorted((t, round(x / size, 9)) for t, x in raw.items())))
+    got = [(r["clean_text"], sorted((terms[int(j)], round(float(x), 9)) for j, x in zip(r["features"].indices, r["features"].values)))
+           for r in out.collect()]
+    assert sorted(got) == sorted((t.strip(), v) for t, v in want)
