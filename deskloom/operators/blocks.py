@@ -25,26 +25,37 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deskloom.operators.packed import Codebook, weights_of
+
 BLOCK = 64
 VECTORS_PER_SHARD = 4_096
 POSTINGS_PER_SHARD = 500_000
 SHARDS_PER_TASK = 16  # some 100 MB of postings
+PACKED_SHARDS_PER_TASK = 64  # some 80 MB of packed vectors, of which one shard at a time is laid out
 QUERIES_PER_TASK = 16_384
 ENTRIES_PER_TASK = 4_000_000  # of queries
 READ_ALL = 100_000  # a query with at most so many postings in a shard adds all of them up
 EPS = 2e-9  # scores are compared at nine decimals
 
 
+def deal(
+    vectors: DataFrame, size: Column | str, per_shard: int = VECTORS_PER_SHARD, postings: int = POSTINGS_PER_SHARD
+) -> DataFrame:
+    """The vectors with the number of ``shards`` of their part and their own ``shard``; ``size`` is the
+    number of a vector's entries."""
+    sized = vectors.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("entries"))
+    wanted = F.greatest(F.ceil(F.col("n") / per_shard), F.ceil(F.col("entries") / postings)).cast("int")
+    sized = sized.select("part", wanted.alias("shards"))  # a row per part of the index
+    return vectors.join(F.broadcast(sized), "part").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
+
+
 def shards_of(vectors: DataFrame, per_shard: int = VECTORS_PER_SHARD, postings: int = POSTINGS_PER_SHARD) -> DataFrame:
     """(part, shard, shards, ids, copies, terms, starts, places, weights): one row per shard. ``places``
     are positions in ``ids``, which are sorted; the postings of term i lie at starts[i]:starts[i+1]."""
-    sized = vectors.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("vec")).alias("entries"))
-    wanted = F.greatest(F.ceil(F.col("n") / per_shard), F.ceil(F.col("entries") / postings)).cast("int")
-    sized = sized.select("part", wanted.alias("shards"))  # a row per part of the index
-    dealt = vectors.join(F.broadcast(sized), "part").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
+    dealt = deal(vectors, F.size("vec"), per_shard, postings)
     kinds = {c: dealt.schema[c].dataType.simpleString() for c in ("part", "vec_id")}
 
     def load(rows: pa.Table) -> pa.Table:
@@ -59,8 +70,7 @@ def shards_of(vectors: DataFrame, per_shard: int = VECTORS_PER_SHARD, postings:
         term = rank[np.asarray(coded.indices)]
         weight = np.asarray(pc.struct_field(entries, "weight"))
         place = np.repeat(np.arange(rows.num_rows), np.asarray(vec.value_lengths()))
-        order = np.lexsort((place, -weight, term))
-        starts = np.searchsorted(term[order], np.arange(len(terms) + 1))
+        order, starts = _lists(term, weight, place, len(terms))
         lists = {
             "ids": rows["vec_id"].chunk(0),
             "copies": rows["copies"].chunk(0),
@@ -79,11 +89,17 @@ def shards_of(vectors: DataFrame, per_shard: int = VECTORS_PER_SHARD, postings:
     return dealt.select("part", "shard", "shards", "vec_id", "copies", "vec").groupBy("part", "shard").applyInArrow(load, schema)
 
 
+def _lists(term: np.ndarray, weight: np.ndarray, place: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the postings by term, the heaviest first, and where the list of each term starts."""
+    order = np.lexsort((place, -weight, term))
+    return order, np.searchsorted(term[order], np.arange(n + 1))
+
+
 @dataclass
 class Shard:
     ids: pa.Array
     copies: pa.Array
-    terms: pa.Array
+    terms: pa.Array | np.ndarray  # names, or places in the vocabulary
     starts: np.ndarray
     places: np.ndarray
     weights: np.ndarray
@@ -101,6 +117,15 @@ class Shard:
         flat = {c: (v.chunk(0) if isinstance(v, pa.ChunkedArray) else v).flatten() for c, v in row.items()}
         return cls(flat["ids"], flat["copies"], flat["terms"], *(np.asarray(flat[c]) for c in ("starts", "places", "weights")))
 
+    @classmethod
+    def packed(cls, rows: pa.Table, vocab: pa.Table, sublinear: bool) -> Shard:
+        """The shard of packed vectors (vec_id, copies, entries)."""
+        rows = rows.sort_by("vec_id").combine_chunks()
+        place, at, weight = weights_of(rows["entries"].chunk(0), vocab, sublinear)
+        terms, term = np.unique(at, return_inverse=True)
+        order, starts = _lists(term, weight, place, len(terms))
+        return cls(rows["vec_id"].chunk(0), rows["copies"].chunk(0), terms, starts, place[order], weight[order])
+
     def _gather(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Positions of the first ``counts`` postings of each term."""
         ends = np.cumsum(counts)
@@ -180,9 +205,13 @@ def _first(places: np.ndarray, scores: np.ndarray, k: int, floor: float) -> tupl
 
 def _compact(asked: DataFrame) -> DataFrame:
     """(part, q_key, terms, weights) of (part, q_key, vec): the terms as one text, and nothing that the
-    search does not read. A task passes each vector on once, so one that a third of the queries share
+    search does not read. A vector is passed on once by a task, so one that a third of the queries share
     is no large group behind the shuffle."""
-    slim = asked.select("part", "q_key", F.concat_ws("\n", "vec.term").alias("terms"), F.col("vec.weight").alias("weights"))
+    return _once(asked.select("part", "q_key", F.concat_ws("\n", "vec.term").alias("terms"), F.col("vec.weight").alias("weights")))
+
+
+def _once(slim: DataFrame) -> DataFrame:
+    """A task passes each (part, q_key) on once."""
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -194,13 +223,32 @@ def _compact(asked: DataFrame) -> DataFrame:
     return slim.mapInArrow(once, slim.schema)
 
 
-def _search(asked: DataFrame, shards: DataFrame, k: int) -> DataFrame:
+def _search(asked: DataFrame, shards: DataFrame, k: int, book: Codebook | None = None) -> DataFrame:
     """(part, q_key, vec_id, score, copies) for queries (part, pile, share, q_key, terms, weights), a
     query once or more often. A task reads the shards of its pile one after another; the k-th score so
-    far is a query's floor for the next. Ties with the k-th score are all kept."""
-    kinds = {"part": shards.schema["part"].dataType.simpleString(), "ids": shards.schema["ids"].dataType.elementType.simpleString()}
+    far is a query's floor for the next. Ties with the k-th score are all kept. With ``book`` queries
+    (.., q_key, entries) and vectors (.., shard, vec_id, copies, entries) are packed."""
+    id_kind = shards.schema["ids"].dataType.elementType if book is None else shards.schema["vec_id"].dataType
+    kinds = {"part": shards.schema["part"].dataType.simpleString(), "ids": id_kind.simpleString()}
     place = ["part", "pile", "share"]
 
+    def held_shards(held: pa.Table, part: object) -> Iterator[Shard]:
+        if book is None:
+            yield from (Shard.of(held.slice(row, 1)) for row in range(held.num_rows))
+        else:
+            vocab, numbers = book.spans()[part], np.asarray(held["shard"].combine_chunks())
+            for number in np.unique(numbers):
+                yield Shard.packed(held.filter(pa.array(numbers == number)), vocab, book.spec.sublinear)
+
+    def asked_entries(queries: pa.Table, part: object) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array | np.ndarray]:
+        """How many entries each query has, their weights, their terms as codes, and the terms."""
+        if book is None:
+            lengths = np.concatenate([np.asarray(c.value_lengths()) for c in queries["weights"].chunks])
+            return lengths, _flat(queries["weights"]), *_coded(queries["terms"])
+        doc, at, weights = weights_of(queries["entries"].combine_chunks(), book.spans()[part], book.spec.sublinear)
+        terms, codes = np.unique(at, return_inverse=True)
+        return np.bincount(doc, minlength=queries.num_rows), weights, codes, terms
+
     def meet(key: tuple, queries: pa.Table, held: pa.Table) -> pa.Table:
         ids, copies = [], []
         owners, found = [np.zeros(0, np.int64)], [np.zeros(0)]
@@ -210,16 +258,14 @@ def _search(asked: DataFrame, shards: DataFrame, k: int) -> DataFrame:
             _, first = np.unique(np.asarray(queries["q_key"].combine_chunks().dictionary_encode().indices), return_index=True)
             if len(first) < queries.num_rows:
                 queries = queries.take(pa.array(np.sort(first)))
+            part = key[0].as_py() if hasattr(key[0], "as_py") else key[0]
             names = pa.array(queries["q_key"].to_pylist(), pa.string())
-            weights = _flat(queries["weights"])
-            lengths = np.concatenate([np.asarray(c.value_lengths()) for c in queries["weights"].chunks])
-            codes, asked_terms = _coded(queries["terms"])
+            lengths, weights, codes, asked_terms = asked_entries(queries, part)
             ends = np.cumsum(lengths).tolist()
             floors = np.zeros(len(names))
             tops = [np.zeros(0)] * len(names)
-            for row in range(held.num_rows):
-                shard = Shard.of(held.slice(row, 1))
-                known = np.asarray(pc.index_in(asked_terms, value_set=shard.terms).fill_null(-1), dtype=np.int64)[codes]
+            for shard in held_shards(held, part):
+                known = _places(asked_terms, shard.terms)[codes]
                 begin, at = 0, []
                 for q, end in enumerate(ends):
                     own = known[begin:end]
@@ -246,7 +292,7 @@ def _search(asked: DataFrame, shards: DataFrame, k: int) -> DataFrame:
             {
                 "part": pa.array([key[0].as_py() if hasattr(key[0], "as_py") else key[0]] * len(near), queries["part"].type),
                 "q_key": names.take(pa.array(owner[near])),
-                "vec_id": pa.concat_arrays(ids or [pa.array([], held["ids"].type.value_type)]).take(kept),
+                "vec_id": pa.concat_arrays(ids or [pa.array([], held["vec_id"].type if book else held["ids"].type.value_type)]).take(kept),
                 "score": pa.array(score[near]),
                 "copies": pa.concat_arrays(copies or [pa.array([], pa.int64())]).take(kept),
             }
@@ -256,6 +302,16 @@ def _search(asked: DataFrame, shards: DataFrame, k: int) -> DataFrame:
     return asked.groupBy(*place).cogroup(shards.groupBy(*place)).applyInArrow(meet, schema)
 
 
+def _places(asked: pa.Array | np.ndarray, held: pa.Array | np.ndarray) -> np.ndarray:
+    """Where the terms that are asked lie among those that a shard holds, or -1."""
+    if not isinstance(held, np.ndarray):
+        return np.asarray(pc.index_in(asked, value_set=held).fill_null(-1), dtype=np.int64)
+    if not len(held):
+        return np.full(len(asked), -1)
+    at = np.minimum(np.searchsorted(held, asked), len(held) - 1)
+    return np.where(held[at] == asked, at, -1)
+
+
 def _flat(lists: pa.ChunkedArray) -> np.ndarray:
     return np.concatenate([np.asarray(c.flatten()) for c in lists.chunks])
 
@@ -266,24 +322,30 @@ def _coded(texts: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
     return np.concatenate([np.asarray(c.indices) for c in coded.chunks]), coded.chunk(0).dictionary
 
 
-def best_vectors(asked: DataFrame, shards: DataFrame, k: int, per_task: int = QUERIES_PER_TASK) -> DataFrame:
+def best_vectors(
+    asked: DataFrame, shards: DataFrame, k: int, per_task: int = QUERIES_PER_TASK, book: Codebook | None = None
+) -> DataFrame:
     """(part, q_key, vec_id, score, copies): of every pile of shards the k best vectors for each of the
     queries (part, q_key, vec), which may repeat; the k best of them all are among these.
 
     A query goes to every pile of its part and a shard to every share of the queries. So what is
     shuffled is the queries times the piles and the index times the shares, and both are as large as a
-    task can hold.
+    task can hold. With ``book`` the queries are (part, q_key, n, entries) and in place of shards come
+    the packed vectors with theirs (``deal``); a task lays out one shard at a time.
     """
-    sized = asked.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("vec")).alias("entries"))
+    size = F.size("vec") if book is None else F.col("n")
+    sized = asked.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("entries"))
     shares = F.greatest(F.ceil(F.col("n") / per_task), F.ceil(F.col("entries") / ENTRIES_PER_TASK)).cast("int")
-    piles = F.ceil(F.col("shards") / SHARDS_PER_TASK).cast("int")
+    # queries that are one share are moved for little, so there more tasks share the index
+    per_pile = F.lit(SHARDS_PER_TASK) if book is None else F.when(shares > 1, PACKED_SHARDS_PER_TASK).otherwise(SHARDS_PER_TASK)
+    piles = F.ceil(F.col("shards") / per_pile).cast("int")
     wanted = shards.select("part", "shards").distinct().join(sized, "part")
     rows = wanted.select("part", shares.alias("shares"), piles.alias("piles")).collect()  # a row per part that is asked
     part_type = shards.schema["part"].dataType.simpleString()
     plan = shards.sparkSession.createDataFrame(rows, f"part {part_type}, shares int, piles int")
+    slim = _compact(asked.select("part", "q_key", "vec")) if book is None else _once(asked.select("part", "q_key", "entries"))
     queries = (
-        _compact(asked.select("part", "q_key", "vec"))
-        .join(F.broadcast(plan), "part")
+        slim.join(F.broadcast(plan), "part")
         .withColumn("share", F.pmod(F.xxhash64("q_key"), F.col("shares")).cast("int"))
         .withColumn("pile", F.explode(F.sequence(F.lit(0), F.col("piles") - 1)))
     )
@@ -293,5 +355,6 @@ def best_vectors(asked: DataFrame, shards: DataFrame, k: int, per_task: int = QU
         .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
     )
     place = ["part", "pile", "share"]
-    held = ["ids", "copies", "terms", "starts", "places", "weights"]
-    return _search(queries.select(*place, "q_key", "terms", "weights"), spread.select(*place, *held), k)
+    texts = ["terms", "weights"] if book is None else ["entries"]
+    held = ["ids", "copies", "terms", "starts", "places", "weights"] if book is None else ["shard", "vec_id", "copies", "entries"]
+    return _search(queries.select(*place, "q_key", *texts), spread.select(*place, *held), k, book)

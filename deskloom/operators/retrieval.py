@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from deskloom.functions import lexicon as lex
 from deskloom.functions import text as tx
 from deskloom.operators.blocks import best_vectors
+from deskloom.operators.packed import unpack
 from deskloom.operators.skew import ROWS_PER_TASK, lookup_join, top_within
-from deskloom.operators.tfidf import TfidfIndex, distinct_queries, weigh_queries
+from deskloom.operators.tfidf import TfidfIndex, distinct_queries, pack_queries, weigh_queries
 from deskloom.session import cut_lineage
 
 # Joining every shared term pays for small work only: beyond this many (query, vector, term) rows,
 # counted exactly from the vocabulary before anything runs, the shards of the index are searched.
 PAIR_BUDGET = 2_000_000
 EPS = 2e-9
+FEW_HITS = 100_000  # of ids and numbers: some 5 MB
 
 
 def _scores(entries: DataFrame, index: TfidfIndex) -> DataFrame:
@@ -37,13 +39,18 @@ def _best(scores: DataFrame, k: int) -> DataFrame:
     return top_within(rounded, ["part", "q_key"], [F.col("score").desc(), F.col("vec_id")], k)
 
 
-def _nearest_vectors(weighed: DataFrame, index: TfidfIndex, k: int, postings: int, budget: int) -> DataFrame:
-    """(part, q_key, vec_id, score, copies)"""
+def _nearest_vectors(weighed: DataFrame, index: TfidfIndex, k: int, postings: int, budget: int, packed: bool) -> DataFrame:
+    """(part, q_key, vec_id, score, copies). ``packed`` says whether the queries are."""
+    vectors = index.dealt() if packed else None
+    if postings > budget and vectors is not None:
+        return _best(best_vectors(weighed.withColumnRenamed("key", "q_key"), vectors, k, book=index.codebook), k)
+    if packed:
+        weighed = unpack(weighed.drop("n", "postings"), index.codebook)
     if postings > budget:
         return _best(best_vectors(weighed.withColumnRenamed("key", "q_key"), index.sharded(), k), k)
     entries = distinct_queries(weighed).select("part", "q_key", F.inline("vec").alias("term", "weight", "df", "salts"))
     best = _best(_scores(entries, index), k)
-    return best.join(index.vectors.select("part", "vec_id", "copies"), ["part", "vec_id"])
+    return best.join(index.sizes(), ["part", "vec_id"])
 
 
 def _owner_join(owners: DataFrame, lists: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -72,8 +79,9 @@ def retrieve(
     make is read off the vocabulary first; beyond ``pair_budget`` the shards of the index are
     searched, which returns the same rows.
     """
-    weighed, owners, postings = weigh_queries(queries, index, id_col, text_col, part_col, min_chars)
-    best = cut_lineage(_nearest_vectors(weighed, index, k, postings, pair_budget))
+    packed = index.small_vocab
+    weighed, owners, postings = (pack_queries if packed else weigh_queries)(queries, index, id_col, text_col, part_col, min_chars)
+    best = cut_lineage(_nearest_vectors(weighed, index, k, postings, pair_budget, packed))
     # a vector without copies is its own case; of a vector with copies no later one can be among the
     # first k: each task passes on k of them at most
     copied = best.filter("copies > 1")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from deskloom.functions import text as tx
-from deskloom.operators.blocks import shards_of
+from deskloom.operators import packed as pk
+from deskloom.operators.blocks import deal, shards_of
+from deskloom.operators.packed import Codebook, unpack
 from deskloom.session import cut_lineage
 
 # A vocabulary has at most max_features terms per part. Up to this many rows (some 100 MB) it is
@@ -26,6 +29,9 @@ from deskloom.session import cut_lineage
 BROADCAST_TERMS = 2_000_000
 MAX_PARTS = 10_000
 WORDS_AT_ONCE = 500_000  # with their bigrams and places some 100 MB
+# Terms are added up in so many buckets that each is of some 8 MB of the texts' table
+BUCKET_BYTES = 8 << 20
+MOST_BUCKETS = 4_096
 
 
 def english_stop_words(spark: SparkSession) -> list[str]:
@@ -53,7 +59,8 @@ class TfidfIndex:
     members(part, vec_id, case_id) · parts(part, docs).
 
     ``vec_id`` is the smallest case id with that vector and ``copies`` the number of its cases;
-    ``members`` holds every case that has a vector. All tables are written when the index is built.
+    ``members`` holds every case that has a vector. All tables are written when the index is built;
+    with a vocabulary that tasks hold, the vectors are written packed and unpacked where they are read.
     """
 
     spec: TfidfSpec
@@ -66,15 +73,29 @@ class TfidfIndex:
     totals: DataFrame | None = None  # (part, term, df, total) before any limit, if they are kept
     shards: DataFrame | None = None  # as ``blocks.shards_of`` makes them, if they are kept
     salted: DataFrame | None = None  # ``salted_postings`` in buckets, if they are kept
+    packed: DataFrame | None = None  # (part, vec_id, copies, n, entries) behind ``vectors``
+    book: Codebook | None = None  # what unpacks them
 
     @property
     def small_vocab(self) -> bool:
         return self.vocab_bound <= BROADCAST_TERMS
 
+    @cached_property
+    def codebook(self) -> Codebook:
+        return self.book or Codebook(self.vocab, self.spec)
+
     def sharded(self) -> DataFrame:
         """The shards that searches read: those kept with the index, else made and written now."""
         return self.shards if self.shards is not None else cut_lineage(shards_of(self.vectors))
 
+    def dealt(self) -> DataFrame | None:
+        """The packed vectors with their shards, for searches, unless shards are kept."""
+        return deal(self.packed, "n") if self.packed is not None and self.shards is None else None
+
+    def sizes(self) -> DataFrame:
+        """(part, vec_id, copies)"""
+        return (self.vectors if self.packed is None else self.packed).select("part", "vec_id", "copies")
+
     def salted_postings(self) -> DataFrame:
         """(part, term, salt, vec_id, weight): a term's postings are spread over ``salts`` pieces by
         vector id. Kept in buckets of these keys they are joined without being moved."""
@@ -89,6 +110,16 @@ class TfidfIndex:
             "part", "vec_id", F.inline("vec").alias("term", "weight", "df", "salts")
         ).drop("df")
 
+    def entries(self) -> DataFrame:
+        """(part, case_id, term, weight), one row per entry of a case. Cases meet the vectors as they
+        are packed, and their entries are made where they met."""
+        if self.packed is None:
+            met = self.members.join(self.vectors.select("part", "vec_id", "vec"), ["part", "vec_id"])
+        else:
+            met = self.members.join(self.packed.select("part", "vec_id", "entries"), ["part", "vec_id"])
+            met = unpack(met.select("part", "case_id", "entries"), self.codebook)
+        return met.select("part", "case_id", F.inline("vec").alias("term", "weight", "df", "salts")).drop("df", "salts")
+
 
 def words_table(docs: DataFrame, spec: TfidfSpec, id_col: str, text_col: str, part_col: str) -> DataFrame:
     """(part, doc_id, words), one row per document, the words in the order of the text."""
@@ -166,37 +197,66 @@ def _by_part(batch: pa.RecordBatch) -> Iterator[tuple[object, pa.RecordBatch]]:
             yield part, piece.filter(pc.equal(codes.indices, code))
 
 
-def count_terms(words: DataFrame, spec: TfidfSpec, with_rows: bool = False) -> DataFrame:
-    """(part, term, df, total): documents with the term and its occurrences. Words are counted where
-    they were read and added up there, so the shuffle gets a row per term and task. ``with_rows``
-    adds a row without a term that holds the number of documents."""
+def _buckets(df: DataFrame) -> int:
+    """Over how many tasks the terms of ``df`` are added up, by the size of the table it comes from."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >> 50:  # not known
+        return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return min(MOST_BUCKETS, max(8, -(-size // BUCKET_BYTES)))
+
+
+def count_terms(words: DataFrame, spec: TfidfSpec, with_rows: bool = False, least: int = 1) -> DataFrame:
+    """(part, term, df, total): documents with the term and its occurrences, of terms in at least
+    ``least`` documents. Words are counted where they were read; a task sends the terms of a bucket
+    as one compressed text in order, with their counts. ``with_rows`` adds a row without a term that
+    holds the number of documents."""
+    kind, buckets = words.schema["part"].dataType.simpleString(), _buckets(words)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, rows in _by_part(batch):
-                if with_rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([part], batch.column("part").type), pa.nulls(1, pa.string()), *[pa.array([rows.num_rows])] * 2],
-                        ["part", "term", "df", "total"],
-                    )
                 doc, terms = _occurrences(rows.column("words"), spec.n_max)
                 coded = terms.dictionary_encode()
                 code = np.asarray(coded.indices, dtype=np.int64)
-                n = len(coded.dictionary)
+                names, n = coded.dictionary, len(coded.dictionary)
                 once = np.unique(doc * n + code) % max(n, 1)
+                df, total = (np.bincount(x, minlength=n) for x in (once, code))
+                sent = [(-1, 0, b"", b"", rows.num_rows)] if with_rows else []
+                for bucket, at in pk.sorted_terms(names, (pk.hashes(names) % np.uint64(buckets)).astype(np.int64)):
+                    counts = pk.varints(np.concatenate([df[at], total[at]]))[0]
+                    sent.append((bucket, len(at), pk.squeezed(pk.text_of(names.take(pa.array(at)))), pk.squeezed(counts), 0))
+                columns = zip(*sent) if sent else [()] * 5
+                kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
+                arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([part] * n, batch.column("part").type),
-                        coded.dictionary,
-                        pa.array(np.bincount(once, minlength=n).astype(np.int64)),
-                        pa.array(np.bincount(code, minlength=n).astype(np.int64)),
-                    ],
-                    ["part", "term", "df", "total"],
+                    [pa.array([part] * len(sent), batch.column("part").type), *arrays], ["part", "bucket", "n", "terms", "counts", "rows"]
                 )
 
-    kind = words.schema["part"].dataType.simpleString()
-    partial = words.select("part", "words").mapInArrow(count, f"part {kind}, term string, df bigint, total bigint")
-    return partial.groupBy("part", "term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+    def add(held: pa.Table) -> pa.Table:
+        codes = held["part"].combine_chunks().dictionary_encode()
+        out = []
+        for code, part in enumerate(codes.dictionary.to_pylist()):
+            own = held.filter(pc.equal(codes.indices, code))
+            docs = pc.sum(own["rows"]).as_py()
+            names, df, total = [pa.array([], pa.string())], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for n, terms, counts in zip(*(own[c].to_pylist() for c in ("n", "terms", "counts"))):
+                if n:
+                    names.append(pk.terms_of(pk.whole(terms), n))
+                    found = pk.numbers(np.frombuffer(pk.whole(counts), np.uint8))[0]
+                    df.append(found[:n])
+                    total.append(found[n:])
+            coded = pa.concat_arrays(names).dictionary_encode()
+            at, size = np.asarray(coded.indices), len(coded.dictionary)
+            df, total = (np.bincount(at, np.concatenate(x), size).astype(np.int64) for x in (df, total))
+            kept = np.flatnonzero(df >= least)
+            columns = [[part] * len(kept), coded.dictionary.take(pa.array(kept)), df[kept], total[kept]]
+            if docs:
+                columns = [[part], pa.array([None], pa.string()), [docs], [docs]]
+            out.append(pa.table([pa.array(c, k) if not isinstance(c, pa.Array) else c for c, k in zip(columns, (held.schema.field("part").type, pa.string(), pa.int64(), pa.int64()))], ["part", "term", "df", "total"]))
+        return pa.concat_tables(out)
+
+    sent = words.select("part", "words").mapInArrow(count, f"part {kind}, bucket int, n int, terms binary, counts binary, rows bigint")
+    return sent.groupBy("bucket").applyInArrow(add, f"part {kind}, term string, df bigint, total bigint")
 
 
 def most_frequent(terms: DataFrame, cap: int, lead: int = 3) -> DataFrame:
@@ -277,11 +337,8 @@ def unit_vectors(words: pa.ListArray, terms: pa.Array, idf: np.ndarray, n_max: i
         )
 
 
-VEC = "array<struct<term:string,weight:double,df:bigint,salts:int>>"
-
-
 def weigh(words: DataFrame, vocab: DataFrame, small_vocab: bool, spec: TfidfSpec) -> DataFrame:
-    """(part, doc_id, vec, key): unit-length vectors as arrays of (term, weight, df, salts)
+    """(part, doc_id, key, vec): unit-length vectors as arrays of (term, weight, df, salts)
     sorted by term, from the words. Documents without any known term are absent.
 
     A vocabulary of proven size goes to every task, and a document is counted, weighed and scaled
@@ -290,59 +347,46 @@ def weigh(words: DataFrame, vocab: DataFrame, small_vocab: bool, spec: TfidfSpec
     """
     if not small_vocab:
         return _weigh_by_join(counted(words, spec), vocab, spec)
-    known = vocab.select("part", "term", "df", "idf", "salts").toArrow().sort_by([("part", "ascending"), ("term", "ascending")])
-    sent = words.sparkSession.sparkContext.broadcast(known)
+    return unpack(pack(words, book := Codebook(vocab, spec)).drop("n", "postings"), book)
+
+
+def pack(words: DataFrame, book: Codebook) -> DataFrame:
+    """(part, doc_id, n, postings, entries, key): the vectors of the words, packed. ``n`` is the number of
+    their terms and ``postings`` that of the documents that have one of them, once for each; the key is a
+    128-bit identity of the vector within its part. Documents without any known term are absent."""
+    spec = book.spec
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = sent.value.combine_chunks()
-        spans = {}
-        if held.num_rows:
-            coded = held["part"].chunk(0).dictionary_encode()
-            edges = np.searchsorted(np.asarray(coded.indices), np.arange(len(coded.dictionary) + 1))
-            spans = {part: held.slice(edges[i], edges[i + 1] - edges[i]) for i, part in enumerate(coded.dictionary.to_pylist())}
+        spans = book.spans()
         for batch in batches:
             for part, rows in _by_part(batch):
                 if part in spans:
-                    yield _weighed(part, rows, spans[part], spec)
+                    yield packed(part, rows, spans[part])
+
+    def packed(part: object, rows: pa.RecordBatch, vocab: pa.Table) -> pa.RecordBatch:
+        doc, terms = _occurrences(rows.column("words"), spec.n_max)
+        places = pc.index_in(terms, value_set=vocab["term"].chunk(0) if vocab.num_rows else pa.array([], pa.string()))
+        there = np.asarray(places.is_valid())
+        place = np.asarray(places.drop_null(), dtype=np.int64)
+        size = max(vocab.num_rows, 1)
+        pairs, tf = np.unique(doc[there] * size + place, return_counts=True)
+        owners, doc = np.unique(pairs // size, return_inverse=True)
+        entries = pk.pack_entries(doc, pairs % size, tf, len(owners))
+        postings = np.bincount(doc, np.asarray(vocab["df"])[pairs % size], len(owners)).astype(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([part] * len(owners), rows.column("part").type),
+                rows.column("doc_id").take(pa.array(owners)),
+                pa.array(np.bincount(doc, minlength=len(owners)).astype(np.int32)),
+                pa.array(postings),
+                entries,
+                pa.array([hashlib.md5(x).hexdigest() for x in entries.to_pylist()], pa.string()),
+            ],
+            ["part", "doc_id", "n", "postings", "entries", "key"],
+        )
 
     part_kind, id_kind = (words.schema[c].dataType.simpleString() for c in ("part", "doc_id"))
-    return words.mapInArrow(run, f"part {part_kind}, doc_id {id_kind}, vec {VEC}, key string")
-
-
-def _weighed(part: object, rows: pa.RecordBatch, vocab: pa.Table, spec: TfidfSpec) -> pa.RecordBatch:
-    doc, terms = _occurrences(rows.column("words"), spec.n_max)
-    places = pc.index_in(terms, value_set=vocab["term"].chunk(0) if vocab.num_rows else pa.array([], pa.string()))
-    there = np.asarray(places.is_valid())
-    place = np.asarray(places.drop_null(), dtype=np.int64)
-    size = max(vocab.num_rows, 1)
-    pairs, tf = np.unique(doc[there] * size + place, return_counts=True)
-    doc, place = pairs // size, pairs % size
-    raw = (1.0 + np.log(tf) if spec.sublinear else tf.astype(float)) * np.asarray(vocab["idf"])[place]
-    owners, starts = np.unique(doc, return_index=True)
-    ends = np.append(starts, len(doc))
-    if len(owners):
-        norms = np.sqrt(np.add.reduceat(raw * raw, starts))
-        weights = raw / np.repeat(norms, np.diff(ends))
-    else:
-        weights = raw
-    # a 128-bit identity of the vector within its part, from terms and unscaled weights
-    keys = [
-        hashlib.md5(place[a:b].tobytes() + raw[a:b].tobytes()).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())
-    ]
-    picked = vocab.take(pa.array(place))
-    entries = pa.StructArray.from_arrays(
-        [picked[c].combine_chunks() if c != "weight" else pa.array(weights) for c in ("term", "weight", "df", "salts")],
-        ["term", "weight", "df", "salts"],
-    )
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([part] * len(owners), rows.column("part").type),
-            rows.column("doc_id").take(pa.array(owners)),
-            pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), entries),
-            pa.array(keys, pa.string()),
-        ],
-        ["part", "doc_id", "vec", "key"],
-    )
+    return words.mapInArrow(run, f"part {part_kind}, doc_id {id_kind}, n int, postings bigint, entries binary, key string")
 
 
 def _weigh_by_join(found: DataFrame, vocab: DataFrame, spec: TfidfSpec) -> DataFrame:
@@ -394,7 +438,7 @@ def build_index(
     """Index the cases: texts are tokenised in one pass, and every table of the index is written
     to the checkpoint folder; use ``deskloom.sources.index_store`` to keep it for other sessions."""
     words = cut_lineage(words_table(cases, spec, id_col, text_col, part_col))
-    return index_words(words, count_terms(words, spec), spec)
+    return index_words(words, count_terms(words, spec, least=spec.min_df), spec)
 
 
 def index_words(words: DataFrame, totals: DataFrame, spec: TfidfSpec) -> TfidfIndex:
@@ -402,24 +446,28 @@ def index_words(words: DataFrame, totals: DataFrame, spec: TfidfSpec) -> TfidfIn
     parts, n_parts = part_sizes(words, "part")
     vocab = cut_lineage(build_vocab(totals, parts, spec))
     bound = vocab.count() if spec.max_features is None else spec.max_features * n_parts
-    weighed = cut_lineage(weigh(words, vocab, bound <= BROADCAST_TERMS, spec))
+    base = {"spec": spec, "vocab": vocab, "parts": parts, "vocab_bound": bound, "words": words}
+    if bound > BROADCAST_TERMS:
+        vectors, members = _distinct_vectors(cut_lineage(weigh(words, vocab, False, spec)), ["vec"])
+        return TfidfIndex(vectors=vectors.select("part", "vec_id", "vec", "copies"), members=members, **base)
+    book = Codebook(vocab, spec)
+    vectors, members = _distinct_vectors(cut_lineage(pack(words, book).drop("postings")), ["n", "entries"])
+    packed = vectors.select("part", "vec_id", "copies", "n", "entries")
+    unpacked = unpack(packed.drop("n"), book).select("part", "vec_id", "vec", "copies")
+    return TfidfIndex(vectors=unpacked, members=members, packed=packed, book=book, **base)
+
+
+def _distinct_vectors(weighed: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(part, key, vec_id, columns, copies) of each vector, and its members; both are written."""
     vectors = cut_lineage(
         weighed.groupBy("part", "key").agg(
-            F.min("doc_id").alias("vec_id"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("copies")
+            F.min("doc_id").alias("vec_id"), *[F.first(c).alias(c) for c in columns], F.count(F.lit(1)).alias("copies")
         )
     )
     members = weighed.select("part", "key", F.col("doc_id").alias("case_id")).join(
         vectors.select("part", "key", "vec_id"), ["part", "key"]
     )
-    return TfidfIndex(
-        spec=spec,
-        vocab=vocab,
-        vectors=vectors.select("part", "vec_id", "vec", "copies"),
-        members=cut_lineage(members.select("part", "vec_id", "case_id")),
-        parts=parts,
-        vocab_bound=bound,
-        words=words,
-    )
+    return vectors, cut_lineage(members.select("part", "vec_id", "case_id"))
 
 
 def all_totals(index: TfidfIndex) -> DataFrame:
@@ -442,6 +490,20 @@ def merge_cases(
     return index_words(cut_lineage(index.words.unionByName(added)), totals, index.spec)
 
 
+def _long_enough(queries: DataFrame, text_col: str, spec: TfidfSpec, min_chars: int) -> DataFrame:
+    return queries.filter(F.length(tx.clean(F.col(text_col), spec.profile)) >= min_chars) if min_chars > 0 else queries
+
+
+def pack_queries(
+    queries: DataFrame, index: TfidfIndex, id_col: str, text_col: str, part_col: str, min_chars: int = 0
+) -> tuple[DataFrame, DataFrame, int]:
+    """As ``weigh_queries``, with the vectors packed: (part, doc_id, n, postings, entries, key), written."""
+    words = words_table(_long_enough(queries, text_col, index.spec, min_chars), index.spec, id_col, text_col, part_col)
+    packed = cut_lineage(pack(words, index.codebook))
+    owners = packed.select(F.col("doc_id").alias("query_id"), "part", F.col("key").alias("q_key"))
+    return packed, owners, packed.agg(F.sum("postings")).first()[0] or 0
+
+
 def weigh_queries(
     queries: DataFrame, index: TfidfIndex, id_col: str, text_col: str, part_col: str, min_chars: int = 0
 ) -> tuple[DataFrame, DataFrame, int]:
@@ -451,10 +513,11 @@ def weigh_queries(
     owners(query_id, part, q_key) to bring results back to queries, and an upper bound of
     the (query vector, case, term) rows a plain join would make.
     """
-    if min_chars > 0:
-        queries = queries.filter(F.length(tx.clean(F.col(text_col), index.spec.profile)) >= min_chars)
-    words = words_table(queries, index.spec, id_col, text_col, part_col)
-    weighed = cut_lineage(weigh(words, index.vocab, index.small_vocab, index.spec))
+    if index.small_vocab:
+        packed, owners, postings = pack_queries(queries, index, id_col, text_col, part_col, min_chars)
+        return unpack(packed.drop("n", "postings"), index.codebook), owners, postings
+    words = words_table(_long_enough(queries, text_col, index.spec, min_chars), index.spec, id_col, text_col, part_col)
+    weighed = cut_lineage(weigh(words, index.vocab, False, index.spec))
     owners = weighed.select(F.col("doc_id").alias("query_id"), "part", F.col("key").alias("q_key"))
     per_query = F.aggregate("vec", F.lit(0).cast("long"), lambda acc, x: acc + x["df"])
     postings = weighed.agg(F.sum(per_query)).first()[0] or 0

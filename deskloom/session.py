@@ -96,7 +96,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     clears it.
     """
     path = f"{checkpoint_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     if _scopes():
         _scopes()[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
