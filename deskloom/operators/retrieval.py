@@ -114,8 +114,13 @@ def with_cases(hits: DataFrame, cases: DataFrame) -> DataFrame:
         "response_type",
         *extra,
     )
+    hits = cut_lineage(hits)
+    rows = hits.count()
+    if rows <= FEW_HITS:  # the cases stay where they are
+        joined = details.join(F.broadcast(hits), "case_id")
+        return joined.select("case_id", *[c for c in hits.columns if c != "case_id"], *[c for c in details.columns if c != "case_id"])
     # the best case of a popular message owns a large share of the hits
-    return lookup_join(hits, details, "case_id", spread_by=["query_id"])
+    return lookup_join(hits, details, "case_id", spread_by=["query_id"], rows=rows)
 
 
 def type_priority(response_type: F.Column) -> F.Column:

@@ -80,3 +80,17 @@ def test_vectors_are_written_as_places(spark, cases):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
         assert not any("vec#" in x or "weight#" in x for x in moved)
+
+
+def test_few_hits_do_not_move_the_cases(spark, cases, monkeypatch):
+    rows, df = cases
+    known = df.dropDuplicates(["case_id"]).withColumns({"support_reply": F.col("customer_text"), "response_type": F.lit("x")})
+    known = known.unionByName(known.filter("case_id < 5")).localCheckpoint()
+    hits = spark.createDataFrame([(q, "A", 1, q % 50, 0.5) for q in range(120)], "query_id long, part string, rank_no int, case_id long, similarity double")
+    few = retrieval.with_cases(hits, known)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and not any("customer_text" in x for x in plan.splitlines() if "Exchange" in x)
+    monkeypatch.setattr(retrieval, "FEW_HITS", 10)
+    many = retrieval.with_cases(hits, known)
+    assert few.columns == many.columns and few.count() > 120
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
