@@ -375,8 +375,7 @@ def term_df(spark, sf):
 @query("build_index", CASE_INDEX + " select part, doc_id as case_id, term, round(weight, 6) as weight from c_vec")
 def build_index(spark, sf):
     _, index = case_index(spark, sf)
-    entries = index.postings().join(index.members, ["part", "vec_id"])
-    return entries.select("part", "case_id", "term", r6("weight").alias("weight"))
+    return index.entries().select("part", "case_id", "term", r6("weight").alias("weight"))
 
 
 @query("index_roundtrip", CASE_INDEX + """, sizes as (select part, count(*) as docs from c_src group by part)
@@ -1212,9 +1211,7 @@ select lang, place::int as place, term, mean_weight from (
 def cluster_terms(spark, sf):
     docs = documents(spark, sf, "doc_id", "text", "lang").withColumn("part", F.lit("all"))
     index = tfidf.build_index(docs, CLUSTER_SPEC, "doc_id", "text", "part")
-    weights = index.postings().join(index.members, ["part", "vec_id"]).select(
-        F.col("case_id").alias("doc_id"), "term", "weight"
-    )
+    weights = index.entries().select(F.col("case_id").alias("doc_id"), "term", "weight")
     out = learning.cluster_terms(weights, docs.select("doc_id", "lang"), "lang")
     return out.select("lang", "place", "term", "mean_weight")
 
@@ -1245,12 +1242,15 @@ sizes as (select run, cluster, count(*) as n from one group by all),
 means as (select run, cluster, term, sum(weight) / any_value(n) as centre from one join c_vec using (doc_id) join sizes using (run, cluster) group by all)""" + assign_sql("two", "means")
 
 
+def cluster_index(docs):
+    return tfidf.build_index(docs.withColumn("part", F.lit("all")), CLUSTER_SPEC, "doc_id", "text", "part")
+
+
 def cluster_entries(spark, sf):
     """(entries, ids): documents as unit-length TF-IDF vectors."""
-    docs = documents(spark, sf).withColumn("part", F.lit("all"))
-    index = tfidf.build_index(docs, CLUSTER_SPEC, "doc_id", "text", "part")
-    entries = index.postings().join(index.members, ["part", "vec_id"])
-    return cut_lineage(entries.select(F.col("case_id").alias("id"), "term", "weight")), docs.select(F.col("doc_id").alias("id"))
+    docs = documents(spark, sf)
+    index = cluster_index(docs)
+    return cut_lineage(index.entries().select(F.col("case_id").alias("id"), "term", "weight")), docs.select(F.col("doc_id").alias("id"))
 
 
 @query("kmeans_step", KMEANS + " select run, doc_id, cluster, round(distance, 6) as distance from two")
@@ -1282,16 +1282,17 @@ select round(any_value(lost / total) + 0.005 * sum(c * c), 6) as loss, round(sqr
   round(max(abs(g)), 6) as gradient_max, any_value(examples)::bigint as examples from gradient, size""")
 def regression_loss(spark, sf):
     """Loss and gradient at coefficients given by a rule, over all documents with their language."""
-    entries, _ = cluster_entries(spark, sf)
+    index = cluster_index(documents(spark, sf))
+    entries = cut_lineage(index.packed_cases().withColumnRenamed("case_id", "id"))
     docs = documents(spark, sf, "doc_id", "lang")
     names = sorted(r["lang"] for r in docs.select("lang").distinct().collect())
     classes = spark.createDataFrame([(name, i) for i, name in enumerate(names)], "label string, i int")
     listed = F.array(*[F.struct(F.lit(name).alias("label"), F.lit(i).alias("i")) for i, name in enumerate(names)])
-    terms = entries.select("term").distinct().select("term", F.inline(listed))
+    terms = index.vocab.select("term", F.inline(listed))
     given = terms.select("label", "term", ((F.length("term") * (F.col("i") + 1) % 5 - 2) / 10.0).alias("coefficient"))
     examples = docs.select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), (1 + F.col("doc_id") % 3 / 2.0).alias("importance"))
     found = learning.regression_certificate(
-        entries, examples, given, classes.select("label", (F.col("i") / 10.0).alias("intercept")), 0.01
+        entries, examples, given, classes.select("label", (F.col("i") / 10.0).alias("intercept")), 0.01, index.codebook
     )
     return found.select(*[r6(c).alias(c) for c in ("loss", "gradient_norm", "gradient_max")], "examples")
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskloom.functions import text as tx
+from deskloom.operators.packed import Codebook, unpack
 from deskloom.operators.skew import lookup_join, rank_within, top_within
 from deskloom.operators.tfidf import TfidfSpec, build_vocab, count_terms, exploded, most_frequent, part_sizes, term_table, unit_vectors, words_table
 from deskloom.operators.wide_regression import WideRegression, fit_wide
@@ -26,6 +27,7 @@ from deskloom.session import checkpoint_dir, cut_lineage
 ONE = "all"
 # Spark's estimator keeps some twenty vectors of all coefficients on the driver: 160 MB for these
 DRIVER_COEFFICIENTS = 1_000_000
+BROADCAST_COEFFICIENTS = 1_000_000  # some 50 MB
 
 
 def term_positions(vocab: DataFrame) -> DataFrame:
@@ -327,7 +329,7 @@ def sparse_kmeans(
 
 
 def regression_certificate(
-    entries: DataFrame, examples: DataFrame, coefficients: DataFrame, intercepts: DataFrame, penalty: float
+    entries: DataFrame, examples: DataFrame, coefficients: DataFrame, intercepts: DataFrame, penalty: float, book: Codebook | None = None
 ) -> DataFrame:
     """One row (loss, gradient_norm, gradient_max, examples): the objective of a multinomial
     regression and its gradient, at any coefficients.
@@ -336,9 +338,18 @@ def regression_certificate(
     term, coefficient), ``intercepts`` (label, intercept), one row per class. The loss is the mean of
     the weighted negative log-likelihoods plus ``penalty / 2`` times the squared coefficients. The
     objective is convex, so a gradient of zero proves the coefficients best. All sums run over the
-    entries that exist; no dense row is ever made.
+    entries that exist; no dense row is ever made. With ``book`` the entries come packed, (id, part,
+    entries): they are moved like that and opened where they are needed.
     """
-    met = entries.join(coefficients, "term").groupBy("id", "label")
+
+    def opened(rows: DataFrame, *columns: str) -> DataFrame:
+        if book is None:
+            return rows.select(*columns, "term", "weight")
+        return unpack(rows, book).select(*columns, F.inline("vec").alias("term", "weight", "df", "salts")).drop("df", "salts")
+
+    coefficients = cut_lineage(coefficients)
+    few = coefficients.count() <= BROADCAST_COEFFICIENTS  # a footer count; then the entries stay where they are
+    met = opened(entries, "id").join(F.broadcast(coefficients) if few else coefficients, "term").groupBy("id", "label")
     scored = met.agg(F.sum(F.col("weight") * F.col("coefficient")).alias("score"))
     # one entry per class, listed in every example's row
     classes = [F.struct(F.lit(r["label"]).alias("label"), F.lit(float(r["intercept"])).alias("intercept")) for r in intercepts.collect()]
@@ -367,7 +378,9 @@ def regression_certificate(
     )
     whole = data.first()
     total = float(whole["all"] or 1.0)
-    slopes = entries.join(likely.select("id", "label", residual.alias("r")), "id").groupBy("label", "term")
+    # one row of residuals for an id, so that its entries meet them as they are
+    lists = likely.groupBy("id").agg(F.collect_list(F.struct("label", residual.alias("r"))).alias("rs"))
+    slopes = opened(entries.join(lists, "id"), "rs").select("term", "weight", F.inline("rs")).groupBy("label", "term")
     slopes = slopes.agg((F.sum(F.col("r") * F.col("weight")) / total).alias("slope"))
     both = slopes.join(coefficients, ["label", "term"], "full").select(
         (F.coalesce("slope", F.lit(0.0)) + penalty * F.coalesce("coefficient", F.lit(0.0))).alias("g"),

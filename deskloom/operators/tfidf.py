@@ -110,14 +110,16 @@ class TfidfIndex:
             "part", "vec_id", F.inline("vec").alias("term", "weight", "df", "salts")
         ).drop("df")
 
+    def packed_cases(self) -> DataFrame:
+        """(part, case_id, entries): cases meet the vectors as they are packed."""
+        return self.members.join(self.packed.select("part", "vec_id", "entries"), ["part", "vec_id"]).select("part", "case_id", "entries")
+
     def entries(self) -> DataFrame:
-        """(part, case_id, term, weight), one row per entry of a case. Cases meet the vectors as they
-        are packed, and their entries are made where they met."""
+        """(part, case_id, term, weight), one row per entry of a case, made where cases met the vectors."""
         if self.packed is None:
             met = self.members.join(self.vectors.select("part", "vec_id", "vec"), ["part", "vec_id"])
         else:
-            met = self.members.join(self.packed.select("part", "vec_id", "entries"), ["part", "vec_id"])
-            met = unpack(met.select("part", "case_id", "entries"), self.codebook)
+            met = unpack(self.packed_cases(), self.codebook)
         return met.select("part", "case_id", F.inline("vec").alias("term", "weight", "df", "salts")).drop("df", "salts")
 
 

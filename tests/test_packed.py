@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from deskloom.operators import packed, retrieval, tfidf
+from deskloom.operators import learning, packed, retrieval, tfidf
 
 WORDS = ["net", "ñet", "slow", "red"] + [f"wörd{i}" for i in range(40)]
 
@@ -94,3 +94,24 @@ def test_few_hits_do_not_move_the_cases(spark, cases, monkeypatch):
     many = retrieval.with_cases(hits, known)
     assert few.columns == many.columns and few.count() > 120
     assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+
+
+@pytest.mark.parametrize("few", [1_000_000, 0])
+def test_a_certificate_of_packed_entries(spark, cases, monkeypatch, few):
+    """Entries that come packed give the loss and gradient of the same entries in rows; neither they nor
+    the rows are moved to meet few coefficients. Ids that come twice count twice."""
+    monkeypatch.setattr(learning, "BROADCAST_COEFFICIENTS", few)
+    index = tfidf.build_index(cases[1].withColumn("intent", F.lit("all")), tfidf.TfidfSpec(profile="lower"))
+    examples = cases[1].select(F.col("case_id").alias("id"), F.coalesce("intent", F.lit("C")).alias("label"), (1 + F.col("case_id") % 3).alias("importance"))
+    given = index.vocab.select("term", F.explode(F.array(*map(F.lit, "ABC"))).alias("label"))
+    given = given.select("label", "term", (F.length("term") % 5 / 10.0 - F.length("label") / 4).alias("coefficient")).filter("length(term) < 14")
+    level = spark.createDataFrame([("A", 0.1), ("B", 0.0), ("C", -0.2)], "label string, intercept double")
+    both = [
+        learning.regression_certificate(entries, examples, given, level, 0.01, book).first()
+        for entries, book in (
+            (index.packed_cases().withColumnRenamed("case_id", "id"), index.codebook),
+            (index.entries().withColumnRenamed("case_id", "id"), None),
+        )
+    ]
+    assert both[0]["examples"] == both[1]["examples"] > 0
+    assert tuple(both[0]) == pytest.approx(tuple(both[1]), rel=1e-9) and both[0]["gradient_max"] > 0
