@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from deskloom.operators import learning, packed, retrieval, tfidf
+from deskloom.operators import blocks, learning, packed, retrieval, tfidf
 
 WORDS = ["net", "ñet", "slow", "red"] + [f"wörd{i}" for i in range(40)]
 
@@ -115,3 +115,22 @@ def test_a_certificate_of_packed_entries(spark, cases, monkeypatch, few):
     ]
     assert both[0]["examples"] == both[1]["examples"] > 0
     assert tuple(both[0]) == pytest.approx(tuple(both[1]), rel=1e-9) and both[0]["gradient_max"] > 0
+
+
+@pytest.mark.parametrize("per_task, per_pile", [(7, 2), (100, 3), (5, 64)])
+def test_piles_and_shares_of_packed_shards(spark, cases, monkeypatch, per_task, per_pile):
+    """Any number of shares and piles finds the same; a query is moved as bytes, once to each pile."""
+    monkeypatch.setattr(blocks, "PACKED_SHARDS_PER_TASK", per_pile)
+    monkeypatch.setattr(blocks, "SHARDS_PER_TASK", per_pile)
+    index = tfidf.build_index(cases[1], tfidf.TfidfSpec(profile="lower"))
+    asked = tfidf.pack_queries(cases[1], index, "case_id", "customer_text", "intent")[0].withColumnRenamed("key", "q_key")
+    dealt = blocks.deal(index.packed, "n", 3)
+    assert dealt.agg(F.max("shards")).first()[0] > 6
+    found = blocks.best_vectors(asked, dealt, 3, per_task, index.codebook)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not any("vec#" in x or "weights#" in x for x in plan.splitlines() if "Exchange" in x)
+    want = blocks.best_vectors(tfidf.unpack(asked.drop("n", "postings"), index.codebook), blocks.shards_of(index.vectors), 3)
+    rows = [
+        sorted((r.part, r.q_key, round(r.score, 6), r.vec_id, r.copies) for r in retrieval._best(d, 3).collect()) for d in (found, want)
+    ]
+    assert rows[0] == rows[1] and len(rows[0]) > 100
