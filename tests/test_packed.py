@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter
 
@@ -134,3 +135,30 @@ def test_piles_and_shares_of_packed_shards(spark, cases, monkeypatch, per_task,
         sorted((r.part, r.q_key, round(r.score, 6), r.vec_id, r.copies) for r in retrieval._best(d, 3).collect()) for d in (found, want)
     ]
     assert rows[0] == rows[1] and len(rows[0]) > 100
+
+
+@pytest.mark.parametrize("at_once", [40, 500_000])
+def test_features_without_a_row_for_a_term(spark, cases, monkeypatch, at_once):
+    """Every row, also of an id that comes twice, gets the vector of its own text; terms meet the
+    vocabulary in pieces of the documents and not one by one."""
+    monkeypatch.setattr(tfidf, "WORDS_AT_ONCE", at_once)
+    monkeypatch.setattr(tfidf, "exploded", lambda *_: pytest.fail("a row for a term"))
+    rows, df = cases
+    spec = tfidf.TfidfSpec(profile="lower", max_df=0.8, max_features=None)
+    train = df.filter("case_id < 40")
+    table, vocab, width, path = learning.feature_table(df.withColumn("no", F.length("customer_text")), train, spec, "case_id", "customer_text", ("no",))
+    terms = {r.position: r.term for r in vocab.collect()}
+    seen = [set(bag) for i, _, bag in bags(rows) if i < 40]
+    n = Counter(t for bag in seen for t in bag)
+    n = {t: c for t, c in n.items() if 2 <= c <= math.floor(0.8 * len(seen))}
+    assert sorted(terms.values()) == sorted(n) and sorted(terms) == list(range(width))
+    want = []
+    for i, _, bag in bags(rows):
+        raw = {t: (1 + math.log(c)) * (math.log((1 + len(seen)) / (1 + n[t])) + 1) for t, c in Counter(bag).items() if t in n}
+        size = math.sqrt(sum(x * x for x in raw.values()))
+        want.append((i, sorted((t, round(x / size, 9)) for t, x in raw.items())))
+    got = table.collect()
+    assert len({r.n for r in got}) == len(got) and all(r.features.indices == sorted(r.features.indices) for r in got)
+    assert sorted((r.doc_id, sorted((terms[j], round(x, 9)) for j, x in zip(r.features.indices, r.features["values"]))) for r in got) == sorted(want)
+    assert sorted((r.doc_id, r.no or 0) for r in got) == sorted((i, len(t or "")) for i, _, t in rows)
+    assert sum(r["features"].numNonzeros() for r in learning.as_vectors(table, path).collect()) == sum(len(v) for _, v in want)
